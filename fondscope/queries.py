@@ -1,6 +1,391 @@
-"""Queries of the library by name, with the SQL that each is compared with."""
+"""Queries of the library by name, with the DuckDB SQL that each is compared with.
+
+Each takes (spark, sf_dir) and works on the attribute table derived from orders and line items, or on texts, pages and
+documents derived from the other tables.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import fixtures as X
+from . import functions as S
+from .operators import examples, language, numbering, selection, temporal, usage
+from .plans import composition
+from .sources import attributes as A
+from .sources import dimensions, harvest, inventory, nested, records
+from .streaming import ingest
+from .workspace import new_path
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function under its name, with the SQL for the same rows."""
+
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+# Attribute tables
+
+ALL = "record_number, field_number, subfield_number, field_code, subfield_code, value"
+YEARS = "years AS (SELECT record_number, TRY_CAST(t AS INTEGER) AS year FROM (SELECT record_number, value AS t FROM att WHERE field_code = '011@' AND subfield_code = 'a' UNION ALL SELECT record_number, substr(value, 8, 4) FROM att WHERE field_code = '008') WHERE regexp_full_match(t, '[0-9]+'))"
+LANGS = "langs AS (SELECT record_number, CASE WHEN language IS NULL THEN code ELSE code || ' (' || language || ')' END AS language FROM (SELECT record_number, value AS code FROM att WHERE field_code = '010@' AND subfield_code = 'a' UNION ALL SELECT record_number, substr(value, 36, 3) FROM att WHERE field_code = '008') LEFT JOIN dim ON code = language_code)"
+PER_FIELD = "per AS (SELECT record_number, field_code, count(*) AS n FROM att GROUP BY ALL), total AS (SELECT count(DISTINCT record_number) AS t FROM att)"
+PER_SUBFIELD = "sper AS (SELECT record_number, field_code, subfield_code, count(*) AS n FROM att GROUP BY ALL), stotal AS (SELECT count(DISTINCT record_number) AS t FROM att), vals AS (SELECT field_code, subfield_code, value, count(*) AS n FROM att GROUP BY ALL), dist AS (SELECT field_code, subfield_code, count(value) AS dist_vals FROM vals GROUP BY ALL)"
+FIELD_USAGE = "usage AS (SELECT field_code, count(*) AS records, count(*) / any_value(t) AS r_p, CAST(sum(n) AS BIGINT) AS n, sum(n) / count(*) AS vals_per_rec, count(*) FILTER (n > 1) AS recs_with_mult_vals FROM per, total GROUP BY field_code)"
+SUBFIELD_USAGE = "susage AS (SELECT field_code, subfield_code, count(*) AS records, count(*) / any_value(t) AS r_p, CAST(sum(n) AS BIGINT) AS n, sum(n) / count(*) AS vals_per_rec, count(*) FILTER (n > 1) AS recs_with_mult_vals FROM sper, stotal GROUP BY field_code, subfield_code)"
+EXAMPLES = "ex AS (SELECT field_code, subfield_code, string_agg(value || ' (' || CAST(n AS VARCHAR) || ')', '|' ORDER BY rn) AS e_vals FROM (SELECT *, row_number() OVER (PARTITION BY field_code, subfield_code ORDER BY md5(concat_ws('|', '1', value)), value) AS rn FROM vals WHERE value IS NOT NULL) WHERE rn <= 7 GROUP BY field_code, subfield_code)"
+
+
+@query(f"{X.WITH} SELECT {ALL} FROM att")
+def scan_attributes(spark, sf_dir):
+    at = new_path(spark, "scan")
+    d = X.attributes(spark, sf_dir)
+    first = F.col("record_number") % 2 == 0
+    A.write_attributes(d.filter(first), f"{at}/x.parquet")
+    A.write_attributes(d.filter(~first), f"{at}/x_2.parquet")
+    return A.read_attributes(spark, f"{at}/x.parquet")
+
+
+@query(f"{X.WITH} SELECT {ALL} FROM att")
+def write_roundtrip(spark, sf_dir):
+    return A.write_attributes(X.attributes(spark, sf_dir), new_path(spark, "roundtrip"))
+
+
+@query(f"{X.WITH} SELECT {ALL} FROM att WHERE field_code = '700' AND subfield_code = 'a'")
+def select_field(spark, sf_dir):
+    return selection.select_field(X.attributes(spark, sf_dir), "700", "a")
+
+
+@query(f"{X.WITH} SELECT record_number, field_code, value FROM att WHERE regexp_full_match(value, '[0-9]+')")
+def numeric_values(spark, sf_dir):
+    return selection.numeric_values(X.attributes(spark, sf_dir)).select("record_number", "field_code", "value")
+
+
+@query(f"{X.WITH} SELECT count(DISTINCT record_number) AS n_records, count(*) AS n_rows FROM att")
+def dataset_totals(spark, sf_dir):
+    return usage.dataset_totals(X.attributes(spark, sf_dir))
+
+
+@query(f"{X.WITH}, {YEARS} SELECT year, count(*) AS n FROM years WHERE year BETWEEN 1000 AND 2050 GROUP BY year")
+def year_histogram(spark, sf_dir):
+    return temporal.year_histogram(X.attributes(spark, sf_dir))
+
+
+@query(f"{X.WITH}, {YEARS} SELECT count(*) AS n FROM (SELECT DISTINCT record_number FROM att) WHERE record_number NOT IN (SELECT record_number FROM years)")
+def records_without_year(spark, sf_dir):
+    return temporal.records_without_year(X.attributes(spark, sf_dir))
+
+
+@query(f"{X.WITH}, {LANGS} SELECT record_number, language FROM langs")
+def language_labels(spark, sf_dir):
+    return language.record_languages(X.attributes(spark, sf_dir), X.languages(spark))
+
+
+@query(f"{X.WITH}, {LANGS} SELECT language, count(*) AS n, count(*) / sum(count(*)) OVER () AS prop FROM (SELECT DISTINCT record_number FROM att) LEFT JOIN langs USING (record_number) GROUP BY language")
+def language_distribution(spark, sf_dir):
+    return language.language_distribution(X.attributes(spark, sf_dir), X.languages(spark))
+
+
+@query(f"{X.WITH}, {PER_FIELD}, {FIELD_USAGE} SELECT * FROM usage")
+def field_usage(spark, sf_dir):
+    return usage.field_usage(X.attributes(spark, sf_dir))
+
+
+@query(f"{X.WITH}, per AS (SELECT record_number, field_code, count(DISTINCT field_number) AS n FROM att GROUP BY ALL), total AS (SELECT count(DISTINCT record_number) AS t FROM att), {FIELD_USAGE} SELECT * FROM usage")
+def field_usage_occurrence(spark, sf_dir):
+    return usage.field_usage(X.attributes(spark, sf_dir), unit="occurrence")
+
+
+@query(f"{X.WITH}, {PER_SUBFIELD}, {SUBFIELD_USAGE} SELECT susage.*, dist_vals FROM susage JOIN dist USING (field_code, subfield_code)")
+def subfield_usage(spark, sf_dir):
+    return usage.subfield_usage(X.attributes(spark, sf_dir))
+
+
+@query(f"{X.WITH} SELECT field_code, subfield_code, value, count(*) AS n FROM att GROUP BY ALL")
+def value_counts(spark, sf_dir):
+    return usage.value_counts(X.attributes(spark, sf_dir))
+
+
+@query(f"{X.WITH}, {PER_SUBFIELD} SELECT * FROM dist")
+def distinct_values(spark, sf_dir):
+    return usage.distinct_values(usage.value_counts(X.attributes(spark, sf_dir)))
+
+
+@query(f"{X.WITH}, {PER_SUBFIELD}, {EXAMPLES} SELECT * FROM ex")
+def example_values(spark, sf_dir):
+    return examples.example_values(X.attributes(spark, sf_dir))
+
+
+@query(f"{X.WITH} SELECT count(DISTINCT field_code) AS n_fields, (SELECT count(*) FROM (SELECT DISTINCT field_code, subfield_code FROM att)) AS n_subfields FROM att")
+def code_counts(spark, sf_dir):
+    return usage.code_counts(X.attributes(spark, sf_dir))
+
+
+@query(f"""{X.WITH}, {PER_FIELD}, {FIELD_USAGE} SELECT field_code, field_description, records, r_p, n, vals_per_rec, recs_with_mult_vals, url,
+CASE WHEN url IS NULL THEN field_code ELSE '<a href="' || url || '">' || field_code || '</a>' END AS field_link FROM usage LEFT JOIN fdesc USING (field_code)""")
+def field_overview(spark, sf_dir):
+    return composition.field_overview(X.attributes(spark, sf_dir), X.fields(spark))
+
+
+@query(f"""{X.WITH}, {PER_SUBFIELD}, {SUBFIELD_USAGE}, {EXAMPLES} SELECT field_code, subfield_code, subfield_description, records, r_p, dist_vals, e_vals, n, vals_per_rec, recs_with_mult_vals, field_description, url
+FROM susage JOIN dist USING (field_code, subfield_code) LEFT JOIN ex USING (field_code, subfield_code) LEFT JOIN sdesc USING (field_code, subfield_code) LEFT JOIN fdesc USING (field_code)""")
+def subfield_overview(spark, sf_dir):
+    return composition.subfield_overview(X.attributes(spark, sf_dir), X.fields(spark), X.subfields(spark))
+
+
+BY_DATASET = f"{X.WITH}, ds AS (SELECT o_orderstatus AS dataset, att.* FROM att JOIN orders ON o_orderkey + 1 = record_number)"
+
+
+@query(f"""{BY_DATASET}, per AS (SELECT dataset, record_number, field_code, count(*) AS n FROM ds GROUP BY ALL), total AS (SELECT dataset, count(DISTINCT record_number) AS t FROM ds GROUP BY dataset)
+SELECT dataset, field_code, count(*) AS records, count(*) / any_value(t) AS r_p, CAST(sum(n) AS BIGINT) AS n, sum(n) / count(*) AS vals_per_rec, count(*) FILTER (n > 1) AS recs_with_mult_vals FROM per JOIN total USING (dataset) GROUP BY dataset, field_code""")
+def usage_by_dataset(spark, sf_dir):
+    return usage.field_usage(X.attributes_by_dataset(spark, sf_dir), by=["dataset"])
+
+
+@query(f"""{BY_DATASET}, {LANGS} SELECT dataset, language, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY dataset) AS prop
+FROM (SELECT DISTINCT dataset, record_number FROM ds) LEFT JOIN langs USING (record_number) GROUP BY dataset, language""")
+def languages_by_dataset(spark, sf_dir):
+    return language.language_distribution(X.attributes_by_dataset(spark, sf_dir), X.languages(spark), by=["dataset"])
+
+
+NAMES = "names AS (SELECT value, count(*) AS n FROM att WHERE field_code = '700' AND subfield_code = 'a' GROUP BY value)"
+
+
+def _names(spark, sf_dir):
+    return usage.value_counts(selection.select_field(X.attributes(spark, sf_dir), "700", "a")).select("value", "n")
+
+
+@query(f"{X.WITH}, {NAMES}, b AS (SELECT quantile_cont(n, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]) AS q FROM names) SELECT value, n, CAST(1 + len(list_filter(q, lambda x: x <= n)) AS INTEGER) AS class FROM names, b")
+def quantile_class(spark, sf_dir):
+    return usage.quantile_class(_names(spark, sf_dir), "n")
+
+
+@query(f"{X.WITH}, {NAMES} SELECT value, n, round((n - min(n) OVER ()) / (max(n) OVER () - min(n) OVER ()), 9) AS position FROM names")
+def minmax_scale(spark, sf_dir):
+    return usage.minmax_scale(_names(spark, sf_dir), "n").withColumn("position", F.round("position", 9))
+
+
+@query("SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS record_number FROM orders")
+def record_numbers(spark, sf_dir):
+    return numbering.number_records(X.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey")
+
+
+@query(f"{X.WITH} SELECT {ALL} FROM att WHERE substr(md5(concat_ws('|', '1', CAST(record_number AS VARCHAR))), 1, 8) < '19999999'")
+def sample_records(spark, sf_dir):
+    return selection.sample_records(X.attributes(spark, sf_dir), 10, 1)
+
+
+@query(r"""SELECT o_orderkey, substr(o_orderpriority, 3, 4) AS part, CASE WHEN o_custkey % 3 = 0 THEN o_orderstatus ELSE o_orderstatus || ' (' || o_orderpriority || ')' END AS label,
+regexp_extract(g, '^(.*?)\|', 1) AS g_url, regexp_replace(g, '^.*?\|', '') AS g_text, CASE WHEN b >= 1000000000 THEN regexp_replace(printf('%.1f', b / 1000000000), '\.0$', '') || ' GB' WHEN b >= 1000000 THEN regexp_replace(printf('%.1f', b / 1000000), '\.0$', '') || ' MB' WHEN b >= 1000 THEN regexp_replace(printf('%.1f', b / 1000), '\.0$', '') || ' KB' ELSE b::VARCHAR || ' B' END AS size,
+o_custkey / (o_orderkey + 1) AS ratio, TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS first FROM (SELECT *, coalesce(CASE WHEN o_custkey % 2 = 0 THEN 'https://example.org/' || o_custkey END, 'NA') || '|' || o_orderstatus || ': ' || o_orderpriority || '|x' AS g, CAST(floor(o_totalprice) % 10000 AS BIGINT) * 100 AS b FROM orders)""")
+def scalar_functions(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    name = F.when(F.col("o_custkey") % 3 != 0, F.col("o_orderpriority"))
+    url = F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("https://example.org/"), F.col("o_custkey").cast("string")))
+    g = S.group_label(url, "o_orderstatus", F.concat("o_orderpriority", F.lit("|x")))
+    size = (F.floor("o_totalprice") % 10000).cast("long") * 100
+    return o.select("o_orderkey", F.substring("o_orderpriority", 3, 4).alias("part"), S.language_label("o_orderstatus", name).alias("label"), S.group_url(g).alias("g_url"), S.group_text(g).alias("g_text"), S.size_text(size).alias("size"), (F.col("o_custkey") / (F.col("o_orderkey") + 1)).alias("ratio"), S.to_year(F.substring("o_orderpriority", 1, 1)).alias("first"))
+
+
+# Sources
+
+ORDERS = "o AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderstatus = '{}')"
+ITEMS = "items AS (SELECT rn, row_number() OVER (PARTITION BY rn ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus) AS k, l_partkey, l_returnflag, l_linestatus FROM o JOIN lineitem ON l_orderkey = o_orderkey)"
+F008 = "concat('850101s', CAST(year(o_orderdate) AS VARCHAR), rpad('', 24, ' '), 'eng ')"
+HEADS = f"SELECT rn AS record_number, 1 AS field_number, 1 AS subfield_number, 'LDR' AS field_code, '' AS subfield_code, '00000nam a2200000 i 4500' AS value FROM o UNION ALL SELECT rn, 2, 1, '001', '', lpad(CAST(o_orderkey AS VARCHAR), 12, '0') FROM o UNION ALL SELECT rn, 3, 1, '008', '', {F008} FROM o"
+MARC = f"WITH {ORDERS.format('O')}, {ITEMS} SELECT * FROM ({HEADS} UNION ALL SELECT rn, CAST(3 + k AS INTEGER), 1, '700', 'a', CAST(l_partkey AS VARCHAR) FROM items UNION ALL SELECT rn, CAST(3 + k AS INTEGER), 2, '700', 'e', l_returnflag || ' & <' || l_linestatus || '>' FROM items)"
+PICA = f"WITH {ORDERS.format('P')}, {ITEMS} SELECT rn AS record_number, 1 AS field_number, 1 AS subfield_number, '003@' AS field_code, '0' AS subfield_code, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS value FROM o UNION ALL SELECT rn, 2, 1, '011@', 'a', CAST(year(o_orderdate) AS VARCHAR) FROM o UNION ALL SELECT rn, CAST(2 + k AS INTEGER), 1, '028C/01', 'a', ' ' || CAST(l_partkey AS VARCHAR) || ' ' FROM items"
+
+
+def _catalogue(spark, sf_dir, status: str) -> DataFrame:
+    """Records to be written as library formats: key, f008, year, and items (part, note) in order."""
+    o = X.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status)
+    items = X.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"))).alias("items"))
+    year = F.year("o_orderdate").cast("string")
+    f008 = F.concat(F.lit("850101s"), year, F.lit(" " * 24 + "eng "))
+    return o.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("key"), f008.alias("f008"), year.alias("year"), F.coalesce("items", F.array().cast(dict(items.dtypes)["items"])).alias("items"))
+
+
+BY_NUMBER = ("record_id",)
+LEADER = "00000nam a2200000 i 4500"
+
+
+def _marcxml(with_items: bool = True):
+    control = [F.lit(f'<m:record><m:leader>{LEADER}</m:leader><m:controlfield tag="001">'), F.col("key"), F.lit('</m:controlfield><m:controlfield tag="008">'), F.col("f008"), F.lit("</m:controlfield>")]
+    note = lambda i: S.xml_safe(F.concat(i["l_returnflag"], F.lit(" & <"), i["l_linestatus"], F.lit(">")))
+    data = F.array_join(F.transform("items", lambda i: F.concat(F.lit('<m:datafield tag="700" ind1=" " ind2="1"><m:subfield code="a">'), i["l_partkey"].cast("string"), F.lit('</m:subfield><m:subfield code="e">'), note(i), F.lit("</m:subfield></m:datafield>"))), "")
+    return F.concat(*control, *([data] if with_items else []), F.lit("</m:record>"))
+
+
+def _landed_xml(df: DataFrame, name: str) -> str:
+    """Write XML records to files of one `collection` each, compressed, as if they had been harvested."""
+    path, parts = new_path(df.sparkSession, name), max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    record = df.select(F.pmod(F.xxhash64(df.columns[0]), F.lit(parts)).alias("part"), F.lit(1).alias("k"), F.col(df.columns[0]).alias("value"))
+    ends = df.sparkSession.range(parts).selectExpr("id AS part", """inline(array(struct(0 AS k, '<m:collection xmlns:m="urn:m" xmlns:o="urn:o" xmlns:zs="urn:zs">' AS value), struct(2 AS k, '</m:collection>' AS value)))""")
+    rows = record.unionByName(ends).repartition(parts, "part").sortWithinPartitions("part", "k")
+    rows.select("part", "value").write.partitionBy("part").option("compression", "gzip").text(path)
+    return path
+
+
+def _landed(df: DataFrame, name: str, **options) -> str:
+    """Write a text column to files in the shared folder, as if they had been harvested."""
+    path = new_path(df.sparkSession, name)
+    df.write.options(**options).text(path)
+    return path
+
+
+@query(MARC)
+def marcxml_flatten(spark, sf_dir):
+    path = _landed_xml(_catalogue(spark, sf_dir, "O").select(_marcxml().alias("x")), "marcxml")
+    return records.flatten_records(records.read_marcxml(spark, path), BY_NUMBER)
+
+
+@query(MARC)
+def iso2709_flatten(spark, sf_dir):
+    note = lambda i: F.concat(i["l_returnflag"], F.lit(" & <"), i["l_linestatus"], F.lit(">"))
+    entry = lambda tag: f"{tag}000000000"
+    data = F.transform("items", lambda i: F.concat(F.lit(" 1\x1fa"), i["l_partkey"].cast("string"), F.lit("\x1fe"), note(i), F.lit("\x1e")))
+    head = F.concat(F.lit(LEADER + entry("001") + entry("008")), F.array_join(F.transform("items", lambda _: F.lit(entry("700"))), ""), F.lit("\x1e"))
+    record = F.concat(head, F.col("key"), F.lit("\x1e"), F.col("f008"), F.lit("\x1e"), F.array_join(data, ""))
+    path = _landed(_catalogue(spark, sf_dir, "O").select(record), "iso2709", lineSep="\x1d")
+    return records.flatten_records(records.read_iso2709(spark, path), BY_NUMBER)
+
+
+@query(PICA)
+def picaxml_flatten(spark, sf_dir):
+    field = lambda tag, code, value: F.concat(F.lit(f'<datafield tag="{tag}"><subfield code="{code}">'), value, F.lit("</subfield></datafield>"))
+    items = F.array_join(F.transform("items", lambda i: F.concat(F.lit('<datafield tag="028C" occurrence="01"><subfield code="a"> '), i["l_partkey"].cast("string"), F.lit(" </subfield></datafield>"))), "")
+    record = F.concat(F.lit("<zs:record><zs:recordData><record>"), field("003@", "0", F.col("key")), field("011@", "a", F.col("year")), items, F.lit("</record></zs:recordData></zs:record>"))
+    path = _landed_xml(_catalogue(spark, sf_dir, "P").select(record.alias("x")), "picaxml")
+    return records.flatten_records(records.read_picaxml(spark, path, in_pages=True), BY_NUMBER)
+
+
+@query(f"WITH {ORDERS.format('O')} {HEADS}")
+def strip_prefix(spark, sf_dir):
+    lines = _catalogue(spark, sf_dir, "O").select(F.concat("key", F.lit("\t"), _marcxml(with_items=False)))
+    return records.flatten_records(records.read_prefixed(spark.read.text(_landed(lines, "prefixed"))), BY_NUMBER)
+
+
+@query("""WITH t AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations WHERE conv_id IS NOT NULL AND role IS NOT NULL AND text IS NOT NULL),
+c AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS record_number FROM (SELECT DISTINCT conv_id FROM t))
+SELECT record_number, 1 AS field_number, 1 AS subfield_number, 'id' AS field_code, '' AS subfield_code, CAST(conv_id AS VARCHAR) AS value FROM c
+UNION ALL SELECT record_number, CAST(1 + k AS INTEGER), 1, 'turns', 'turn', CAST(turn AS VARCHAR) FROM t JOIN c USING (conv_id) UNION ALL SELECT record_number, CAST(1 + k AS INTEGER), 2, 'turns', 'role', role FROM t JOIN c USING (conv_id) UNION ALL SELECT record_number, CAST(1 + k AS INTEGER), 3, 'turns', 'text', text FROM t JOIN c USING (conv_id)
+UNION ALL SELECT record_number, CAST(2 + count(*) AS INTEGER), 1, 'last', '', '[' || CAST(count(*) AS VARCHAR) || ']' FROM t JOIN c USING (conv_id) GROUP BY record_number""")
+def flatten_documents(spark, sf_dir):
+    t = X.table(spark, sf_dir, "conversations").filter("conv_id is not null and role is not null and text is not null")
+    turns = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    docs = turns.select("conv_id", F.to_json(F.struct("turns", F.concat(F.lit("["), F.size("turns").cast("string"), F.lit("]")).alias("last"))).alias("json"))
+    return nested.flatten_documents(docs, "conv_id", "json")
+
+
+@query("SELECT 'P' || CAST(p_partkey AS VARCHAR) AS field_code, p_name AS field_description, CASE WHEN p_size % 3 <> 0 THEN 'https://example.org/' || CAST(p_partkey AS VARCHAR) END AS url FROM part")
+def describe_fields(spark, sf_dir):
+    p = X.table(spark, sf_dir, "part")
+    key = F.col("p_partkey").cast("string")
+    url = F.when(F.col("p_size") % 3 == 0, F.lit("NA")).otherwise(F.concat(F.lit("https://example.org/"), key))
+    path = new_path(spark, "descriptions")
+    p.select(F.concat(F.lit("P"), key).alias("field_code"), F.col("p_name").alias("field_description"), url.alias("url")).write.option("sep", "\t").option("header", True).option("quote", "").csv(path)
+    return dimensions.read_descriptions(spark, path)
+
+
+STAMP = "strftime(o_orderdate, '%Y-%m-%d')"
+OAI = f"oai AS (SELECT CAST(o_orderkey AS VARCHAR) AS identifier, {STAMP} AS datestamp, substr(o_orderpriority, 1, 1) AS setSpec FROM orders WHERE o_orderkey % 5 <> 0)"
+
+
+def _oai(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    part = lambda name, value: F.concat(F.lit(f"<o:{name}>"), value, F.lit(f"</o:{name}>"))
+    status = F.when(F.col("o_orderkey") % 5 == 0, F.lit(' status="deleted"')).otherwise(F.lit(""))
+    record = F.concat(F.lit("<o:record><o:header"), status, F.lit(">"), part("identifier", F.col("o_orderkey").cast("string")), part("datestamp", F.date_format("o_orderdate", "yyyy-MM-dd")), part("setSpec", F.substring("o_orderpriority", 1, 1)), F.lit(f"</o:header><o:metadata><record><leader>{LEADER}</leader></record></o:metadata></o:record>"))
+    return harvest.read_oai(spark, _landed_xml(o.select(record.alias("x")), "oai"))
+
+
+def _headers(df):
+    return df.select("header.identifier", "header.datestamp", "header.setSpec")
+
+
+@query(f"WITH {OAI} SELECT * FROM oai")
+def oai_active(spark, sf_dir):
+    return _headers(harvest.oai_records(_oai(spark, sf_dir), full_record=True))
+
+
+@query(f"WITH {OAI} SELECT * FROM oai WHERE datestamp BETWEEN '1996-01-01' AND '1996-12-31' AND setSpec = '1'")
+def oai_window(spark, sf_dir):
+    return _headers(harvest.oai_records(harvest.oai_window(_oai(spark, sf_dir), "1996-01-01", "1996-12-31", "1"), full_record=True))
+
+
+@query("""WITH t AS (SELECT o_orderpriority AS harvest, count(*) AS total FROM orders GROUP BY 1), p AS (SELECT DISTINCT o_orderpriority AS harvest, 1 + 50 * (o_orderkey % 100) AS start FROM orders WHERE o_orderkey % 100 < 40),
+w AS (SELECT harvest, unnest(generate_series(1, total, 50)) AS start FROM t), m AS (SELECT harvest, count(*) AS lost, min(w.start) AS first_missing FROM w ANTI JOIN p USING (harvest, start) GROUP BY harvest)
+SELECT harvest, total, CAST(ceil(total / 50) AS BIGINT) AS pages_expected, (SELECT count(*) FROM p WHERE p.harvest = t.harvest) AS pages_found, coalesce(lost, 0) AS pages_missing, first_missing FROM t LEFT JOIN m USING (harvest)""")
+def harvest_audit(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    totals = o.groupBy(F.col("o_orderpriority").alias("harvest")).agg(F.count("*").alias("total"))
+    pages = o.filter("o_orderkey % 100 < 40").select(F.col("o_orderpriority").alias("harvest"), (1 + 50 * (F.col("o_orderkey") % 100)).alias("start")).distinct()
+    pages = pages.join(totals, "harvest").withColumn("content", F.concat(F.lit("<a><zs:numberOfRecords>"), F.col("total").cast("string"), F.lit("</zs:numberOfRecords></a>")))
+    return harvest.harvest_audit(pages, 50)
+
+
+@query(r"SELECT * FROM (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '^\s+|\s+$', '', 'g') AS title FROM pages) WHERE title <> ''")
+def title_index(spark, sf_dir):
+    pages = X.table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", S.report_title("html", r"(?s)<title>(.*?)</title>").alias("title")).filter("title <> ''")
+
+
+@query("""WITH cur AS (SELECT url || '#' || page_id AS url, CASE WHEN page_id % 10 <> 0 THEN md5(html) END AS etag FROM pages), old AS (SELECT url || '#' || page_id AS url, CASE WHEN page_id % 5 = 0 THEN 'x' ELSE md5(html) END AS etag FROM pages WHERE page_id % 7 <> 0 UNION ALL SELECT url || '-' || page_id, 'x' FROM pages WHERE page_id % 6 = 0)
+SELECT * FROM (SELECT url, CASE WHEN old.etag IS NULL THEN 'new' WHEN cur.url IS NULL THEN 'removed' WHEN cur.etag IS NULL THEN 'unknown' WHEN cur.etag <> old.etag THEN 'changed' END AS state FROM cur FULL JOIN old USING (url)) WHERE state IS NOT NULL""".replace("WHEN cur.url IS NULL", "WHEN cur.u IS NULL").replace("AS etag FROM pages), old", "AS etag, 1 AS u FROM pages), old"))
+def changed_sources(spark, sf_dir):
+    p = X.table(spark, sf_dir, "pages")
+    url = F.concat("url", F.lit("#"), F.col("page_id").cast("string"))
+    cur = p.select(url.alias("url"), F.when(F.col("page_id") % 10 != 0, F.md5("html")).alias("etag"))
+    old = p.filter("page_id % 7 <> 0").select(url.alias("url"), F.when(F.col("page_id") % 5 == 0, F.lit("x")).otherwise(F.md5("html")).alias("etag"))
+    gone = p.filter("page_id % 6 = 0").select(F.concat("url", F.lit("-"), F.col("page_id").cast("string")).alias("url"), F.lit("x").alias("etag"))
+    return inventory.changed_sources(cur, old.unionByName(gone))
+
+
+@query()
+def file_inventory(spark, sf_dir):
+    path = new_path(spark, "files")
+    X.attributes(spark, sf_dir).write.parquet(path)
+    return inventory.file_inventory(spark, f"{path}/*.parquet")
+
+
+@query()
+def fingerprint(spark, sf_dir):
+    return inventory.fingerprint(X.attributes(spark, sf_dir))
+
+
+@query(f"SELECT max({STAMP}) AS date FROM orders")
+def dataset_date(spark, sf_dir):
+    dates = X.table(spark, sf_dir, "orders").select(F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("\n")).alias("value"))
+    return inventory.dataset_date(dates, inventory.modification_times(spark, f"{sf_dir}/orders.parquet"))
+
+
+@query(f"{X.WITH} SELECT field_code, subfield_code, count(*) AS n FROM att GROUP BY ALL")
+def usage_stream(spark, sf_dir):
+    landed, to = new_path(spark, "landed"), new_path(spark, "running")
+    A.write_attributes(X.attributes(spark, sf_dir), landed)
+    counts = ingest.usage_stream(ingest.attribute_stream(spark, landed, files_per_trigger=4))
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(to)
+
+    counts.writeStream.outputMode("complete").trigger(availableNow=True).option("checkpointLocation", new_path(spark, "stream")).foreachBatch(replace).start().awaitTermination()
+    return spark.read.parquet(to)
+
+
+@query("SELECT record_id, max(datestamp) AS datestamp FROM (SELECT CAST(o_custkey AS VARCHAR) AS record_id, strftime(o_orderdate, '%Y-%m-%d') AS datestamp FROM orders) GROUP BY record_id")
+def newest_versions(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("record_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("datestamp"))
+    return ingest.newest_versions(o)
