@@ -11,6 +11,10 @@ from .common import documents, small_batches, text_or_empty, written
 from .components import components
 
 
+#: How often at most new heads are tried before all pairs that are left are compared. The result doesn't depend on it.
+ROUNDS = 4
+
+
 def _scan(batches):
     for batch in batches:
         ids, at = batch.column("doc_id"), 0
@@ -34,6 +38,12 @@ def size_class(n):
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(4 / 3))).cast("int")
 
 
+def with_components(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """`lists` with the component `comp` that the links give each set so far."""
+    known = written(components(links), "known").withColumnRenamed("component", "comp")
+    return lists.join(known, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
 def similar_sets(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of `docs` (doc_id, text).
 
@@ -41,7 +51,8 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     Rows with equal sets are one class, carried by its smallest doc_id. Of the classes that can have a partner:
 
     1. each posting list's first set gives its answers to the sets that are highly similar to it: every set is verified
-       against the first of its lists only, and the links found make preliminary components;
+       against the first of its lists only, and the links found make preliminary components. This is repeated with other
+       heads, for sets of other components than the head's, while it finds links (at most ROUNDS times);
     2. posting lists are cut into blocks of one component and size class, with the lowest position in each. A pair of
        blocks is skipped as a whole if it is of one component (its answers are derived from step 1), if the size
        classes aren't neighbours, or if the best positions can't reach the needed overlap;
@@ -61,13 +72,20 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     sets = written(J.semi(docs, chosen, "doc_id").mapInArrow(_sets, "id long, n int, hashes array<long>").filter("n > 0"), "members")
     lists = written(J.prefixes(sets), "lists")
 
-    heads = lists.groupBy("hash").agg(F.min(F.struct("id", "n", "pos")).alias("head"))
-    near = lists.join(heads, "hash").filter(F.col("id") != F.col("head.id"))
-    near = near.filter(J.may_reach(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"))).select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
-    first = written(J.linked(near, sets), "links")
-    known = written(components(first), "known")
-
-    lists = lists.join(known.withColumnRenamed("component", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id")).withColumn("size", size_class(F.col("n")))
+    links, turn = None, 0
+    while True:
+        marked = lists if links is None else with_components(lists, links)
+        head = F.struct("id") if links is None else F.struct(F.xxhash64("id", "hash", F.lit(turn)), "id")
+        heads = marked.groupBy("hash").agg(F.min(F.struct(head.alias("rank"), *(F.col(c) for c in marked.columns if c != "hash"))).alias("head"))
+        near = marked.join(heads, "hash").filter(F.col("id") != F.col("head.id") if links is None else F.col("comp") != F.col("head.comp"))
+        near = near.filter(J.may_reach(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"))).select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct()
+        found = written(J.linked(near, sets), "links")
+        done = found.isEmpty() or turn == ROUNDS
+        links = found if links is None else links.union(found)
+        if done:
+            break
+        turn += 1
+    lists = with_components(lists, links).withColumn("size", size_class(F.col("n")))
     blocks = lists.groupBy("hash", "comp", "size").agg(F.min("pos").alias("pos"), F.min("n").alias("least"), F.max("n").alias("most"))
     mixed = blocks.groupBy("hash").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("hash")
     blocks = blocks.join(mixed, "hash", "left_semi")
@@ -81,7 +99,7 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     rest = J.linked(pairs, sets)
 
     same = rows.filter("n_shingles > 0").join(classes.filter("id < last").select("key", "n_shingles", "id"), ["key", "n_shingles"]).filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    final = components(first.union(rest).union(same)).select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))
+    final = components(links.union(rest).union(same)).select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))
     return rows.join(final, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

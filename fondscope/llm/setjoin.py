@@ -138,15 +138,36 @@ def promising(df: DataFrame, sets: Sets) -> DataFrame:
             tag = tag[np.bincount(run)[run] > 1]
             known.append((tag, np.ones(len(tag), np.int64)))
         if known:
-            tag, times = (np.concatenate(x) for x in zip(*known, strict=True))
-            who, at = np.unique(tag, return_inverse=True)
-            total = np.bincount(at, times).astype(np.int64)
+            who, total = summed(known)
             real = who > 3
-            yield pa.RecordBatch.from_arrays([pa.array(who[real].view(np.int64)), pa.array(total[real])], ["key", "shared"])
+            yield from dealt_out(who[real], total[real])
+
+    def summed(known):
+        tag, times = (np.concatenate(x) for x in zip(*known, strict=True))
+        who, at = np.unique(tag, return_inverse=True)
+        return who, np.bincount(at, times).astype(np.int64)
+
+    def dealt_out(who, total):
+        """Sums of one task, packed by part of the key: a row for each part, not for each key."""
+        part = (words.mixed(who) % _U(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        who, total, cut = who[order], total[order], np.searchsorted(part[order], np.arange(parts + 1))
+        some = [p for p in range(parts) if cut[p + 1] > cut[p]]
+        if some:
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array([x[cut[p] : cut[p + 1]].tobytes() for p in some], pa.binary()) for x in (who, total))], ["part", "tags", "times"])
+
+    def total(batches):
+        known = [(np.frombuffer(t.as_buffer(), _U), np.frombuffer(n.as_buffer(), np.int64)) for batch in batches for t, n in zip(batch.column("tags"), batch.column("times"), strict=True)]
+        if known:
+            who, times = summed(known)
+            yield pa.RecordBatch.from_arrays([pa.array(who.view(np.int64)), pa.array(times)], ["key", "shared"])
+
+    def dealt(rows):
+        return rows.repartitionById(parts, "part") if hasattr(rows, "repartitionById") else rows.repartition(parts, "part")
 
     sent = df.mapInArrow(send, "part int, kind int, tags binary, times binary, hashes binary")
-    dealt = sent.repartitionById(parts, "part") if hasattr(sent, "repartitionById") else sent.repartition(parts, "part")
-    return dealt.mapInArrow(count, "key long, shared long").groupBy("key").agg(F.sum("shared").alias("shared"))
+    counted = dealt(sent).mapInArrow(count, "part int, tags binary, times binary")
+    return dealt(counted).mapInArrow(total, "key long, shared long")
 
 
 def can_link(n: str = "n", shared: str = "shared"):
