@@ -185,8 +185,8 @@ def _search(rows: list[tuple[int, str]]):
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the documents that hold a passage of the benchmark."""
-    found = passages(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long") == F.col("_found"), "left_anti")
+    found = passages(docs, benchmark).select(F.col("doc_id").alias("decontamination found")).distinct()
+    return docs.join(found, F.col("doc_id").cast("long") == F.col("`decontamination found`"), "left_anti")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

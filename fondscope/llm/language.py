@@ -204,15 +204,21 @@ def languages(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame, least: float = 0.2) -> DataFrame:
-    """`docs` without the rows that have no language: `und`, or a score below `least`."""
+    """`docs` without the rows that have no language: no letter, or a score below `least` (which plays no part where no row has
+    a `lang` to learn from). Rows and columns are otherwise as they were; null texts go."""
     model = learned(docs)
     names = docs.columns
     small_batches(docs.sparkSession)
 
     def keep(batches):
         for batch in batches:
-            lang, score = predicted(batch.column("text").to_pylist(), model)
-            yield batch.filter(pa.array([k != UNKNOWN and s >= least for k, s in zip(lang, score, strict=True)], pa.bool_()))
+            texts = batch.column("text").to_pylist()
+            if model.languages:
+                lang, score = predicted(texts, model)
+                kept = [k != UNKNOWN and s >= least for k, s in zip(lang, score, strict=True)]
+            else:
+                kept = [any(c.isalpha() for c in t or "") for t in texts]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema).select(names)
 

@@ -119,35 +119,44 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id", "version").agg(F.collect_set("line").alias("lines"))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` with its texts less the repeated lines, and the columns n_lines and n_removed.
+_MADE = {k: f"line_dedup {k}" for k in ("doc", "version", "lines", "n_lines", "n_removed")}  # names that no table has
 
-    Lines are split at line feeds and joined again; a null text stays null (0 lines), an empty one has one empty line. Rows equal
-    in doc_id and text are one document: they lose the same lines. Other columns stay; n_lines and n_removed are replaced.
-    """
+
+def _cleaned(docs: DataFrame) -> DataFrame:
+    """`docs` with its texts less the repeated lines, and how many lines there were and went, under the names in _MADE."""
     small_batches(docs.sparkSession)
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    m = {k: F.col(f"`{v}`") for k, v in _MADE.items()}
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     gone = repeated_lines(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text")))
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), F.col("lines").alias("_lines"))
-    full = docs.select(*names).withColumn("_v", F.xxhash64(text))
-    full = full.join(gone.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_v") == F.col("_version")), "left")
+    gone = gone.select(F.col("doc_id").alias(_MADE["doc"]), F.col("version").alias(_MADE["version"]), F.col("lines").alias(_MADE["lines"])).hint("shuffle_hash")
+    full = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(m["doc"]) & (F.xxhash64(text) == m["version"]), "left")
     parts = F.split("text", "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), m["lines"])
     kept = F.array_join(F.transform(left, lambda k: F.element_at(parts, k + 1)), "\n")
-    full = full.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long")).withColumn("n_removed", F.coalesce(F.size("_lines"), F.lit(0)).cast("long"))
-    full = full.withColumn("n_removed", F.greatest("n_removed", F.lit(0)))
-    full = full.withColumn("text", F.when(F.col("_lines").isNotNull(), kept).otherwise(F.col("text")))
-    return full.select(*names, "n_lines", "n_removed")
+    full = full.withColumn(_MADE["n_lines"], F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"))
+    full = full.withColumn(_MADE["n_removed"], F.when(m["lines"].isNull(), 0).otherwise(F.size(m["lines"])).cast("long"))
+    full = full.withColumn("text", F.when(m["lines"].isNotNull(), kept).otherwise(F.col("text")))
+    return full.drop(_MADE["doc"], _MADE["version"], _MADE["lines"])
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """`docs` with its texts less the repeated lines, and the columns n_lines and n_removed.
+
+    Lines are split at line feeds and joined again; a null text stays null (0 lines), an empty one has one empty line. Rows equal
+    in doc_id and text are one document: they lose the same lines. Other columns stay, but for ones named n_lines and n_removed.
+    """
+    out = _cleaned(docs)
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return out.select(*(F.col(f"`{c}`") for c in names), F.col(f"`{_MADE['n_lines']}`").alias("n_lines"), F.col(f"`{_MADE['n_removed']}`").alias("n_removed"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """`docs` less the repeated lines and less the documents of which no word is left; n_chars is counted again."""
-    names, types = docs.columns, dict(docs.dtypes)
-    out = without_repeats(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^ \t-\r]"))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(types["n_chars"]))
-    return out.select(*names)
+    out, changed = _cleaned(docs), F.col(f"`{_MADE['n_removed']}`") > 0
+    out = out.filter(~changed | F.col("text").rlike(r"[^ \t-\r]"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

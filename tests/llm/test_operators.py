@@ -1,0 +1,312 @@
+"""The operators against plain versions, on the small tables and on edge cases."""
+
+import random
+import zlib
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fondscope.llm import components as CC
+from fondscope.llm import decontamination, language, line_dedup, ngram_join, packed_output, packing, pii, quality, search, sharding, tokens, words
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return sorted((r.doc_id, r.text) for r in docs.collect())
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, `n` int, hash string, shard string, spans string"
+BASE = "the quick brown fox jumps over the lazy dog while seven clever cats watch from a warm red roof near the old mill".split()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in any column, empty and long texts, ties, repeated rows, and columns with clashing names."""
+    near = [" ".join(BASE[:k] + [f"w{k}"] + BASE[k + 1 :]) for k in (0, 22)]
+    texts = [(1, " ".join(BASE)), (2, near[0]), (3, near[1]), (4, None), (5, ""), (6, " \n\t "), (7, "one two"), (8, "ONE  two"), (None, " ".join(BASE)), (9, " ".join(BASE).upper()), (9, " ".join(BASE).upper()), (10, "long " * 30000), (11, "a\n" * 3), (12, "123 !!"), (13, "x" * 70000)]
+    return spark.createDataFrame([(d, t, "en" if t else None, None, None if t is None else len(t), 1, "k", 2, "h", "s", "p") for d, t in texts], SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_words_and_shingles(rows):
+    import pyarrow as pa
+
+    texts = [t for _, t in rows] + ["", None, "a", "A b\x0bc  d é", "x" * 300000, "y " * 200000]
+    data, at = words.bytes_of(pa.array(texts))
+    seen, sizes = [], []
+    for s in words.slices(data, at):
+        assert s.first == len(seen)
+        seen += s.counts.tolist()
+        sizes += words.distinct_shingles(s)[2].tolist()
+    assert seen == [len(brute.words(t)) for t in texts] and sizes == [len(brute.shingle_set(t)) for t in texts]
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    links = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(150)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    loops = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
+    got = {r.id: r.component for r in CC.components(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()}
+    assert got == {x: root(x) for x in parent if x not in loops}
+    assert CC.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_ngram_join(docs, rows, odd, spark):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_sets(docs).collect()}
+    assert got == brute.components(rows)
+    out = [tuple(r) for r in ngram_join.similar_sets(odd).collect()]
+    assert len(out) == odd.count()
+    found = dict((d, (n, c)) for d, n, c in out)
+    assert found[2][1] == found[3][1] == found[9][1] == 1 and found[8] == (1, 7) and found[4] == (0, 4) and found[5] == (0, 5) and found[6] == (0, 6) and found[10] == (1, 10) and found[None][1] is None
+    assert ngram_join.similar_sets(empty(spark)).count() == 0
+    left = ngram_join.one_of_each(odd)
+    assert left.columns == odd.columns and sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 4, 5, 6, 7, 10, 11, 12, 13]
+
+
+def test_hot_group_of_near_copies(spark):
+    """Near copies that are mostly not similar to each other, but chained through others, with clean texts beside them."""
+    rng = random.Random(5)
+    vocabulary = [f"v{k}" for k in range(5000)]
+    base = rng.sample(vocabulary, 120)
+    rows_ = []
+    for d in range(260):
+        w = list(base)
+        for _ in range(rng.randrange(0, 5)):
+            w[rng.randrange(len(w))] = rng.choice(vocabulary)
+        rows_.append((d, " ".join(w)))
+    rows_ += [(1000 + d, " ".join(rng.sample(vocabulary, 90)) + " " + " ".join(base[:60])) for d in range(60)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_sets(spark.createDataFrame(rows_, "doc_id long, text string").repartition(6)).collect()}
+    assert got == brute.components(rows_)
+
+
+def test_line_dedup(docs, rows, odd, spark):
+    want = brute.removed_lines(rows)
+    got = {r.doc_id: r for r in line_dedup.without_repeats(docs).collect()}
+    for d, text in rows:
+        gone = set(want.get(d, []))
+        assert got[d].n_removed == len(gone) and got[d].text == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+    out = line_dedup.without_repeats(odd.withColumn("n_lines", F.lit(99)))
+    assert out.columns == [*odd.columns, "n_lines", "n_removed"]
+    by = {r.doc_id: r for r in out.collect()}
+    assert out.count() == odd.count() and by[None].n_removed == 0 and by[1].text == "" and by[1].n_removed == 1 and by[4].text is None and by[4].n_lines == 0 and by[5].n_lines == 1 and by[8].n_removed == 1 and by[11].text == "a\n" and by[7].n_removed == 0
+    kept = line_dedup.deduplicated(odd)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {None, 4, 5, 6, 7, 10, 11, 12, 13}
+    assert line_dedup.without_repeats(empty(spark)).count() == 0
+
+
+def test_near_lines(spark):
+    base = " ".join(BASE)
+    rows_ = [(1, f"{base}\nfirst of all lines here now"), (2, f"clean line of this text only\n{base} mill"), (3, f"w0 {base} w1 w2\n\n{base.upper()}"), (4, "first of all lines here now")]
+    got = {r.doc_id: r.n_removed for r in line_dedup.without_repeats(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    want = brute.removed_lines(rows_)
+    assert got == {d: len(want.get(d, [])) for d, _ in rows_} and sum(got.values()) >= 3
+
+
+def test_decontamination(spark, docs, rows, odd):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.passages(docs, benchmark)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == brute.contaminated(rows, items)
+    text = items[0][1]
+    w = text.split()
+    cases = [(1, f"x y z {text.upper()} q"), (2, " ".join(w[: int(len(w) * 0.85)])), (3, " ".join(w[:4])), (4, "a b " + " ".join([*w[:-1], "other", "c"])), (5, None), (6, "")]
+    made = spark.createDataFrame(cases, "doc_id long, text string")
+    odd_items = spark.createDataFrame([*items[:3], items[0], (900, None), (901, ""), (902, "two words")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.passages(made, odd_items).collect()}
+    assert found == brute.contaminated(cases, [*items[:3], (902, "two words")]) and {(1, items[0][0]), (2, items[0][0])} <= found
+    left = decontamination.decontaminated(odd, benchmark)
+    assert left.columns == odd.columns and left.count() == odd.count()
+    assert decontamination.passages(empty(spark), benchmark).count() == 0 and decontamination.passages(docs, benchmark.filter("false")).count() == 0
+
+
+def test_hamming_blocks():
+    rng = np.random.default_rng(3)
+    base = int(rng.integers(0, 1 << 63))
+    index = decontamination.Index([decontamination.Item(1, 30, {5: 1}, base)])
+    prints = np.array([base ^ sum(1 << int(b) for b in rng.choice(64, d, replace=False)) for d in range(0, 40)], np.uint64)
+    assert sorted((w, d) for w, _, d in index.near(30, prints)) == [(d, d) for d in range(decontamination.RADIUS + 1)]
+
+
+def test_pii(spark, rows, odd):
+    assert pii.luhn("4532015112830366") and not pii.luhn("4532015112830367") and pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765433")
+
+    def base(t):
+        out = [("email", *m.span()) for m in pii.EMAIL.finditer(t)]
+        out += [("ip", *m.span()) for m in pii.IP.finditer(t) if all(int(p) <= 255 for p in m[0].split("."))]
+        out += [("card", *m.span()) for m in pii.CARD.finditer(t) if 16 <= len(pii.digits(m[0])) <= 19 and pii.luhn(pii.digits(m[0]))]
+        return out + [("phone", *m.span()) for m in pii.PHONE.finditer(t) if 8 <= len(pii.digits(m[0])) <= 15]
+
+    made = ["a@b.c@d.e.f x@y", "@@a@b.cc", "a" * 9000 + "@b.cc d@e.f", "x@y.z@q.w.e a.b@c-d.e.", "1.2.3.4.5.6.7.8 300.1.1.1 0000000000001.2.3.4", "4532015112830366 4532015112830366", "é +1 (234) 555-0199. +12 3", "4532-0151-1283-0366", ""]
+    for t in [t for _, t in rows] + made:
+        assert pii.base_spans(t) == base(t)
+    found = {(s["kind"], s["start"]) for s in pii.spans("card 4532015112830366 4532015112830366 iban GB82 WEST 1234 5698 7654 32.")}
+    assert {("card", 5), ("card", 22), ("iban", 44)} <= found
+    assert pii.spans("nothing 1234567890123456 here") == []
+    out = pii.personal_data(odd).collect()
+    assert len(out) == odd.count() and all(r.spans == [] for r in out) and pii.personal_data(empty(spark)).count() == 0
+    df = spark.createDataFrame([(1, "é x@y.zz and 1.2.3.4"), (2, None)], "doc_id long, text string")
+    assert [r.text for r in pii.redacted(df).orderBy("doc_id").collect()] == ["é <email> and <ip>", None]
+    r = [x for x in pii.op3_pii(spark, SF).collect() if x.n_email][0]
+    text = dict(rows)[r.doc_id]
+    assert r.base_sha256 == pii.sha256(pii.base_spans(text)) and r.spans.startswith("email:")
+
+
+def test_packing_is_best_fit_decreasing():
+    rng = random.Random(2)
+    for _ in range(200):
+        capacity = rng.choice([5, 17, 64, 2048])
+        lengths = [rng.randint(1, capacity) for _ in range(rng.randint(0, 300))]
+        runs, bins = packing.best_fit_decreasing(Counter(lengths), capacity)
+        used = [[] for _ in range(bins)]
+        for r in runs:
+            for k in range(r.count):
+                used[r.bin + k // r.each].append((r.offset + k % r.each * r.length, r.length))
+        assert bins == brute.best_fit(lengths, capacity) and sorted(n for b in used for _, n in b) == sorted(lengths)
+        for b in used:
+            ends = [0, *np.cumsum([n for _, n in sorted(b)]).tolist()]
+            assert [a for a, _ in sorted(b)] == ends[:-1] and ends[-1] <= capacity
+
+
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokens.vocabulary())
+
+
+def test_token_ids(rows):
+    t = tokenizer()
+    odd_texts = ["", "İstanbul ΣΑΣ ﬁ é é", "a b c", "<|endoftext|> x<|startoftext|>y", "don't WE'LL 12 3\x1c4 日本語", "ŉ ß ẞ Ǆ ª º ²"]
+    for text in [t for _, t in rows] + odd_texts:
+        assert np.frombuffer(tokens.ids_of(text, tokens.vocabulary()), "<u4").tolist() == [*t.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_packed(spark, docs, rows, odd):
+    t = tokenizer()
+    got = packing.packed(docs).collect()
+    want = {d: [*t.encode(x, add_special_tokens=False).ids, 0] for d, x in rows}
+    assert sum(r.length for r in got) == sum(map(len, want.values()))
+    for r in got:
+        part = want[r.doc_id][r.start : r.start + r.length]
+        assert r.start == r.piece * 2048 and r.length == len(part) <= 2048 and r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
+    bins = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == bins.get(r.sequence_id, 0)
+        bins[r.sequence_id] = r.offset + r.length
+    assert max(bins.values()) <= 2048 and len(bins) == brute.best_fit([r.length for r in got], 2048)
+    some = packing.packed(odd)
+    assert {r.doc_id for r in some.collect()} == {r.doc_id for r in odd.collect()} and some.filter("doc_id in (4, 5)").agg(F.sum("length")).first()[0] == 2
+    assert packing.packed(empty(spark)).count() == 0
+
+
+def test_packed_rows(spark, docs, rows, odd, tmp_path):
+    t = tokenizer()
+    packed = packed_output.write_packed(docs, f"file://{tmp_path}/packed")
+    for r in packed.collect():
+        ids, places = np.frombuffer(r.ids, "<u4"), np.frombuffer(r.position_ids, "<i4")
+        assert len(ids) == len(places) == 2048 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.used
+        for a, z in zip(r.cu_seqlens, r.cu_seqlens[1:], strict=False):
+            assert places[a:z].tolist() == list(range(z - a))
+    whole = {}
+    for r in packed_output.unpacked(packed).orderBy("doc_id", "piece").collect():
+        whole[r.doc_id] = whole.get(r.doc_id, []) + np.frombuffer(r.ids, "<u4").tolist()
+    assert whole == {d: [*t.encode(x, add_special_tokens=False).ids, 0] for d, x in rows}
+    assert packed_output.unpacked(packed_output.packed_rows(odd)).count() >= odd.count() and packed_output.packed_rows(empty(spark)).count() == 0
+
+
+def test_sharding(spark, docs, odd):
+    got = sharding.op6_sharding(spark, SF).collect()
+    size = {r.doc_id: len((r.text or "").encode()) + 16 for r in docs.collect()}
+    crc = {r.doc_id: zlib.crc32((r.text or "").encode()) for r in docs.collect()}
+    by, slots = Counter(), {}
+    for r in got:
+        assert r.size == size[r.doc_id] and r.text_crc32 == crc[r.doc_id] and r.law == "bytes" and r.grown_shard is None
+        by[r.shard] += r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values()) and set(by) <= set(range(40))
+    assert max(by.values()) - sum(by.values()) / 40 <= 1.5 * max(size.values())
+    some = sharding.shards(odd, 4).collect()
+    assert len(some) == odd.count() and sharding.shards(empty(spark)).count() == 0
+    hot = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same text of a hot group").otherwise(F.concat(F.lit("text number "), F.col("id").cast("string"))).alias("text"))
+    sums = [r.b for r in sharding.shards(hot, 10).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sums) == 10 and max(sums) < 1.05 * sum(sums) / 10
+    twice = spark.createDataFrame([(d, f"t{d % 40}") for d in range(80)], "doc_id long, text string")
+    placed = sharding.shards(twice, 1).count()
+    assert placed == 80
+
+
+def test_search(spark, docs, rows, odd):
+    found = search.top_k(docs, docs.filter("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")).collect()
+    want = brute.bm25(rows, [(d, t) for d, t in rows if d % 20 == 0])
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.doc_id, r.score))
+    assert {q: [d for d, _ in x] for q, x in got.items()} == {q: [d for d, _ in x] for q, x in want.items()}
+    assert all(abs(a[1] - b[1]) < 2e-6 for q in got for a, b in zip(got[q], want[q], strict=True))
+    asked = spark.createDataFrame([(1, "one two"), (2, None), (3, ""), (4, "nowhere"), (None, "one")], "query_id long, text string")
+    assert [(r.query_id, r.doc_id) for r in search.top_k(odd, asked).orderBy("query_id", "rank").collect()] == [(1, 7), (1, 8)]
+    assert search.top_k(empty(spark), asked).count() == 0 and search.top_k(odd, asked.filter("false")).count() == 0
+
+
+def test_block_max_skips_blocks():
+    n = 4000
+    ids = np.arange(n)
+    tf = np.ones(n)
+    tf[:3] = 50
+    shard = search.Shard(ids, np.full(n, 10.0), np.ones(n, int), np.zeros(n, np.int64), tf, 10.0)
+    assert shard.best(np.array([0]), np.array([1.0]), 3)[0].tolist() == [0, 1, 2] and len(np.unique(shard.block)) == n // search.BLOCK
+
+
+def test_language(spark, odd):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {r.doc_id: r for r in language.op8_language_id(spark, sf).collect()}
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    held = [d for d, r in got.items() if r.held_out]
+    assert held == [d for d in got if zlib.crc32(str(d).encode()) % 3 == 1]
+    assert np.mean([got[d].lang_pred == truth[d] for d in held]) >= 0.97 and all(0 <= r.score <= 1 for r in got.values())
+    model = language.learned(docs)
+    assert set(model.families) == {"germanic", "romance"} and len(model.pairs) == 2
+    out = {r.doc_id: r for r in language.languages(odd, model).collect()}
+    assert all(out[d].lang_pred == "und" and out[d].score == 0 for d in (4, 5, 6, 12)) and out[7].lang_pred != "und"
+    alone = language.learned(empty(spark))
+    assert {r.lang_pred for r in language.languages(odd, alone).collect()} == {"und"}
+    assert language.accepted(odd).columns == odd.columns
+    assert not {4, 5, 6, 12} & {r.doc_id for r in language.accepted(odd).collect()} and language.accepted(docs).count() >= docs.count() - 3
+    whole = language.margins(["ab cd " * 50000], model)[0]
+    assert np.allclose(whole, language.margins(["ab cd " * 50000, "x"], model)[0][0], atol=1e-4)
+
+
+def test_quality(spark, odd):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = {r.doc_id: r for r in quality.op4_quality_classifier(spark, sf).collect()}
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    held = [d for d, r in got.items() if r.held_out and d in truth]
+    assert np.mean([got[d].predicted == truth[d] for d in held]) >= 0.9 and len(got) == docs.count()
+    model = quality.learned(docs, labels)
+    out = [r.score for r in quality.scored(odd, model).collect()]
+    assert len(out) == odd.count() and all(0 <= s <= 1 for s in out)
+    none = quality.learned(empty(spark), labels)
+    assert {round(r.score, 3) for r in quality.scored(odd, none).collect()} == {0.5} and quality.scored(empty(spark), none).count() == 0
