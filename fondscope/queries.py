@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import fixtures as X
 from . import functions as S
 from .operators import examples, language, numbering, selection, temporal, usage
-from .plans import composition
+from .plans import catalogues, composition
 from .sources import attributes as A
 from .sources import dimensions, harvest, inventory, nested, records
 from .streaming import ingest
@@ -160,6 +160,15 @@ def languages_by_dataset(spark, sf_dir):
     return language.language_distribution(X.attributes_by_dataset(spark, sf_dir), X.languages(spark), by=["dataset"])
 
 
+RANGES = "SELECT * FROM (VALUES ('O', 1990, 1996), ('P', 1995, 1997)) AS ranges(dataset, min_year, max_year)"
+
+
+@query(f"""{BY_DATASET}, {YEARS}, r AS ({RANGES}) SELECT dataset, year, count(*) AS n FROM years JOIN (SELECT DISTINCT dataset, record_number FROM ds) USING (record_number) LEFT JOIN r USING (dataset)
+WHERE year BETWEEN coalesce(min_year, 1000) AND coalesce(max_year, 2050) GROUP BY dataset, year""")
+def years_by_dataset(spark, sf_dir):
+    return catalogues.years_by_dataset(X.attributes_by_dataset(spark, sf_dir), spark.sql(RANGES))
+
+
 NAMES = "names AS (SELECT value, count(*) AS n FROM att WHERE field_code = '700' AND subfield_code = 'a' GROUP BY value)"
 
 

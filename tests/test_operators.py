@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fondscope import functions as S
 from fondscope.operators import examples, language, numbering, selection, temporal, usage
-from fondscope.plans import composition
+from fondscope.plans import catalogues, composition
 from fondscope.schema import ATTRIBUTE_SCHEMA, DATASETS, registry
 from fondscope.sources import attributes, dimensions, harvest, inventory, nested, records
 
@@ -186,3 +186,39 @@ def test_field_filter_reaches_the_scan(spark, tmp_path):
     d = selection.select_field(attributes.read_attributes(spark, f"file://{tmp_path}/z.parquet"), "001").select("record_number")
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(field_code,001)" in plan and "value" not in plan.split("ReadSchema")[1]
+
+
+def test_datasets_together(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text(MARC.replace(" x ", "850101s1650" + " " * 24 + "eng "), "utf-8")
+    (tmp_path / "in" / "a.marc").write_bytes(("0" * 24 + "001000000000\x1ek1\x1e\x1d").encode())
+    by = {d.dataset: d for d in DATASETS}
+    catalogues.ingest(spark, by["ptnb"], f"file://{tmp_path}/in", f"file://{tmp_path}/out")
+    catalogues.ingest(spark, by["plnb"], f"file://{tmp_path}/in", f"file://{tmp_path}/out")
+    d = catalogues.read_datasets(spark, f"file://{tmp_path}/out", ["ptnb", "plnb"])
+    assert {(r.dataset, r.n_records) for r in usage.dataset_totals(d, ["dataset"]).collect()} == {("ptnb", 2), ("plnb", 1)}
+    assert rows(catalogues.years_by_dataset(d, registry(spark))) == [("ptnb", 1650, 1)]
+    assert rows(catalogues.years_by_dataset(d, registry(spark).withColumn("max_year", F.lit(1600)))) == []
+
+
+def test_prefixed_lines(spark):
+    lines = spark.createDataFrame([("id\t<record><controlfield tag=\"001\">a<!-- < --></controlfield></record>",), ("no record",), ("x < y <record/>",)], "value string")
+    got = rows(records.flatten_records(records.read_prefixed(lines)), "record_number")
+    assert [r[3:] for r in got] == [("001", "", "a")]
+
+
+def test_streams(spark, tmp_path):
+    from fondscope.streaming import ingest
+
+    attributes.write_attributes(table(spark, (1, 1, 1, "700", "a", "x"), (2, 1, 1, "700", "a", "y")), f"file://{tmp_path}/in")
+    counts = ingest.usage_stream(ingest.attribute_stream(spark, f"file://{tmp_path}/in"))
+    counts.writeStream.outputMode("complete").format("memory").queryName("running").trigger(availableNow=True).start().awaitTermination()
+    assert rows(spark.table("running")) == [("700", "a", 2)]
+    twice = spark.createDataFrame([("a", "2024-01-01", 1), ("a", "2024-02-01", 2), ("b", None, 3)], "record_id string, datestamp string, v int")
+    assert sorted(r.v for r in ingest.newest_versions(twice).collect()) == [2, 3]
+
+
+def test_composition_has_files(spark, tmp_path):
+    d = attributes.write_attributes(table(spark, (1, 1, 1, "700", "a", "x")), f"file://{tmp_path}/d.parquet")
+    report = composition.composition(d, spark.createDataFrame([], dimensions.LANGUAGES), path=f"file://{tmp_path}/d.parquet/*.parquet")
+    assert report["files"].count() >= 1 and report["files"].columns == ["file", "bytes", "size"]
