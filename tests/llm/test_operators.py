@@ -269,13 +269,28 @@ def test_search(spark, docs, rows, odd):
     assert search.top_k(empty(spark), asked).count() == 0 and search.top_k(odd, asked.filter("false")).count() == 0
 
 
-def test_block_max_skips_blocks():
-    n = 4000
-    ids = np.arange(n)
-    tf = np.ones(n)
-    tf[:3] = 50
-    shard = search.Shard(ids, np.full(n, 10.0), np.ones(n, int), np.zeros(n, np.int64), tf, 10.0)
-    assert shard.best(np.array([0]), np.array([1.0]), 3)[0].tolist() == [0, 1, 2] and len(np.unique(shard.block)) == n // search.BLOCK
+def test_pruned_search_is_exact():
+    """Random shards of frequent and rare terms, with many ties, against scores of all documents."""
+    rng = np.random.default_rng(4)
+    for turn in range(30):
+        n, terms_, tfs, sizes = int(rng.integers(1, 400)), [], [], []
+        for _ in range(n):
+            t = np.unique(np.r_[rng.integers(0, 12, rng.integers(0, 12)), rng.integers(20, 400, rng.integers(0, 6))])
+            terms_.append(t)
+            tfs.append(rng.integers(1, 4, len(t)))
+            sizes.append(len(t))
+        ids, lengths = rng.permutation(n * 3)[:n], np.array([x.sum() for x in tfs], float)
+        shard = search.Shard(ids, lengths, np.array(sizes), np.concatenate(terms_), np.concatenate(tfs).astype(np.float32), 9.0)
+        query = np.unique(np.r_[rng.integers(0, 12, 6), rng.integers(20, 400, 5)])
+        weights = rng.uniform(0.1, 3, len(query)) if turn % 2 else np.ones(len(query))
+        score = {}
+        for d, t, f, size in zip(ids, terms_, tfs, lengths, strict=True):
+            s = sum(w * f[t == q][0] * 2.2 / (f[t == q][0] + 1.2 * (0.25 + 0.75 * size / 9.0)) for q, w in zip(query, weights, strict=True) if q in t)
+            if s > 0:
+                score[int(d)] = round(s, 6)
+        want = sorted(score, key=lambda d: (-score[d], d))[:10]
+        got, found = shard.best(query, weights, 10)
+        assert got.tolist() == want and np.allclose(found, [score[d] for d in want], atol=2e-6)
 
 
 def test_language(spark, odd):
