@@ -12,7 +12,7 @@ from .components import components
 
 
 #: How often at most new heads are tried before all pairs that are left are compared. The result doesn't depend on it.
-ROUNDS = 4
+ROUNDS = 3
 
 
 def _scan(batches):
@@ -38,10 +38,14 @@ def size_class(n):
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(4 / 3))).cast("int")
 
 
-def with_components(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """`lists` with the component `comp` that the links give each set so far."""
-    known = written(components(links), "known").withColumnRenamed("component", "comp")
-    return lists.join(known, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+def merged(lists: DataFrame, links: DataFrame, comp: str | None) -> DataFrame:
+    """`lists` with their sets' components `comp` after the new links, which are contracted to the components so far."""
+    if comp:
+        of = lists.select("id", "comp").distinct()
+        links = links.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    moved = components(links).toDF("at", "to")
+    at = F.col(comp or "id")
+    return lists.join(moved, at == F.col("at"), "left").withColumn("comp", F.coalesce("to", at)).drop("at", "to")
 
 
 def similar_sets(docs: DataFrame) -> DataFrame:
@@ -72,20 +76,18 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     sets = written(J.semi(docs, chosen, "doc_id").mapInArrow(_sets, "id long, n int, hashes array<long>").filter("n > 0"), "members")
     lists = written(J.prefixes(sets), "lists")
 
-    links, turn = None, 0
-    while True:
-        marked = lists if links is None else with_components(lists, links)
-        head = F.struct("id") if links is None else F.struct(F.xxhash64("id", "hash", F.lit(turn)), "id")
-        heads = marked.groupBy("hash").agg(F.min(F.struct(head.alias("rank"), *(F.col(c) for c in marked.columns if c != "hash"))).alias("head"))
-        near = marked.join(heads, "hash").filter(F.col("id") != F.col("head.id") if links is None else F.col("comp") != F.col("head.comp"))
+    links, comp = None, None
+    for turn in range(ROUNDS):
+        rank = F.xxhash64("id", "hash", F.lit(turn)) if turn else F.col("id")
+        heads = lists.groupBy("hash").agg(F.min(F.struct(rank.alias("rank"), *(F.col(c) for c in lists.columns if c != "hash"))).alias("head"))
+        near = lists.join(heads, "hash").filter(F.col(comp or "id") != F.col(f"head.{comp or 'id'}"))
         near = near.filter(J.may_reach(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"))).select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct()
         found = written(J.linked(near, sets), "links")
-        done = found.isEmpty() or turn == ROUNDS
         links = found if links is None else links.union(found)
-        if done:
+        if turn and found.isEmpty():
             break
-        turn += 1
-    lists = with_components(lists, links).withColumn("size", size_class(F.col("n")))
+        lists, comp = written(merged(lists, found, comp), "lists"), "comp"
+    lists = lists.withColumn("size", size_class(F.col("n")))
     blocks = lists.groupBy("hash", "comp", "size").agg(F.min("pos").alias("pos"), F.min("n").alias("least"), F.max("n").alias("most"))
     mixed = blocks.groupBy("hash").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("hash")
     blocks = blocks.join(mixed, "hash", "left_semi")
