@@ -60,7 +60,8 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     2. posting lists are cut into blocks of one component and size class, with the lowest position in each. A pair of
        blocks is skipped as a whole if it is of one component (its answers are derived from step 1), if the size
        classes aren't neighbours, or if the best positions can't reach the needed overlap;
-    3. the pairs of the blocks left are filtered by length and position and verified on the whole sets.
+    3. the pairs of the blocks left are filtered by length and position and verified on the whole sets. Components whose blocks
+       meet in many lists are paired once, member by member, if that gives fewer pairs.
 
     So no two sets that are already known to be connected are compared, and no list's pairs are all emitted.
     Null and empty texts have no shingle and are linked with nothing; rows with one doc_id are one vertex; repeated rows
@@ -88,16 +89,25 @@ def similar_sets(docs: DataFrame) -> DataFrame:
             break
         lists, comp = written(merged(lists, found, comp), "lists"), "comp"
     lists = lists.withColumn("size", size_class(F.col("n")))
-    blocks = lists.groupBy("hash", "comp", "size").agg(F.min("pos").alias("pos"), F.min("n").alias("least"), F.max("n").alias("most"))
+    blocks = lists.groupBy("hash", "comp", "size").agg(F.min("pos").alias("pos"), F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("count"))
     mixed = blocks.groupBy("hash").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("hash")
     blocks = blocks.join(mixed, "hash", "left_semi")
-    one, two = (blocks.select("hash", *(F.col(c).alias(f"{c}_{k}") for c in ("comp", "size", "pos", "least", "most"))) for k in "ab")
+    one, two = (blocks.select("hash", *(F.col(c).alias(f"{c}_{k}") for c in ("comp", "size", "pos", "least", "most", "count"))) for k in "ab")
     best = F.least(F.col("most_a") - F.col("pos_a"), F.col("most_b") - F.col("pos_b"))
     meet = one.join(two, "hash").filter((F.col("comp_a") < F.col("comp_b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= 1) & ((100 + J.PERCENT) * best >= J.PERCENT * (F.col("least_a") + F.col("least_b"))))
-    meet = meet.select("hash", "comp_a", "size_a", "comp_b", "size_b")
+    groups = ["comp_a", "size_a", "comp_b", "size_b"]
+    meet = written(meet.select("hash", *groups, (F.col("count_a") * F.col("count_b")).alias("pairs")), "meet")
+    members = lists.select("comp", "size", "id", "n").distinct()
+    counts = members.groupBy("comp", "size").agg(F.count("*").alias("m"))
+    often = meet.groupBy(*groups).agg(F.sum("pairs").alias("pairs"))
+    often = often.join(counts.toDF("comp_a", "size_a", "m_a"), groups[:2]).join(counts.toDF("comp_b", "size_b", "m_b"), groups[2:])
+    often = often.filter("m_a * m_b < pairs").select(*groups)  # these meet in so many lists that to pair their members once is less
+    by_member = often.join(members.toDF("comp_a", "size_a", "a", "n_a"), groups[:2]).join(members.toDF("comp_b", "size_b", "b", "n_b"), groups[2:])
+    by_member = by_member.filter(100 * F.least("n_a", "n_b") >= J.PERCENT * F.greatest("n_a", "n_b")).select("a", "b")
     post = [lists.select("hash", *(F.col(c).alias(f"{c}_{k}") for c in ("comp", "size", "id", "n", "pos"))) for k in "ab"]
-    pairs = meet.join(post[0], ["hash", "comp_a", "size_a"]).join(post[1], ["hash", "comp_b", "size_b"])
-    pairs = pairs.filter(J.may_reach(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    by_list = meet.join(often, groups, "left_anti").drop("pairs").join(post[0], ["hash", *groups[:2]]).join(post[1], ["hash", *groups[2:]])
+    by_list = by_list.filter(J.may_reach(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    pairs = by_member.union(by_list).distinct()
     rest = J.linked(pairs, sets)
 
     same = rows.filter("n_shingles > 0").join(classes.filter("id < last").select("key", "n_shingles", "id"), ["key", "n_shingles"]).filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
