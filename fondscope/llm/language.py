@@ -14,7 +14,7 @@ from .common import documents, small_batches
 
 UNKNOWN = "und"
 #: Training draws at most this many texts of a language, each of at most so many characters, for at most so many languages.
-PER_LANGUAGE, LONGEST, LANGUAGES = 400, 8192, 200
+PER_LANGUAGE, LONGEST, LANGUAGES = 300, 8192, 200
 #: Buckets for letters, pairs and triples; characters that are scored at a time.
 BUCKETS, STEP = 1 << 12, 1 << 17
 ORDERS = 3
@@ -77,7 +77,7 @@ def features(text: str) -> np.ndarray:
     return (total / max(1, len(c) - 2)).astype(np.float32)
 
 
-def machine(x: np.ndarray, y: np.ndarray, rounds: int = 150, c: float = 1.0) -> tuple[np.ndarray, float]:
+def machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, c: float = 1.0) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by accelerated gradient steps; classes weigh the same."""
     n, d = x.shape
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
