@@ -15,7 +15,7 @@ from .packing import best_fit_decreasing
 from .tokens import CAPACITY, SEPARATOR, ids_of, vocabulary
 
 #: Ids that a task holds before it packs them (4 bytes each). Each such batch leaves about one sequence partly empty.
-HELD = 1 << 23
+HELD = 1 << 22
 _TYPES = {"ids": pa.binary(), "used": pa.int32(), "cu_seqlens": pa.list_(pa.int32()), "position_ids": pa.binary(), "doc_ids": pa.list_(pa.int64()), "pieces": pa.list_(pa.int32())}
 SCHEMA = "ids binary, used int, cu_seqlens array<int>, position_ids binary, doc_ids array<long>, pieces array<int>"
 

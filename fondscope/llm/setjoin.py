@@ -19,7 +19,7 @@ from .common import bounded_broadcast, partitions, written
 
 PERCENT = 75
 #: Entries that a task gathers before it sends them; memory is about 100 bytes for each.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 _U = np.uint64
 
 

@@ -18,8 +18,8 @@ from .common import small_batches, text_or_empty
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Chunks of text that a worker remembers with their ids; of later ones it remembers none.
-REMEMBERED = 1 << 20
+#: Chunks of text, and words, that a worker remembers with their ids (about 200 bytes each); of later ones it remembers none.
+CHUNKS, WORDS = 1 << 18, 1 << 19
 #: Chunks for which lower-casing character by character is str.lower, and normalization changes nothing.
 PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u012f\u0131-\u024f]+")
 # Fixed value: the splitting pattern of the vocabulary file.
@@ -54,7 +54,7 @@ class Encoder:
         if ids is None:
             shown = w if w.isascii() else "".join(x for x, _ in self.split(w))
             ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.words) < REMEMBERED:
+            if len(self.words) < WORDS:
                 self.words[w] = ids
         return ids
 
@@ -64,7 +64,7 @@ class Encoder:
             ids = b"".join(map(self.word, WORD.findall(text.lower())))
         else:
             ids = np.array(self.all.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.chunks) < REMEMBERED and len(raw) < 256:
+        if len(self.chunks) < CHUNKS and len(raw) < 256:
             self.chunks[raw] = ids
         return ids
 
