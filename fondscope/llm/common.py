@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -52,7 +51,3 @@ def text_or_empty(name: str = "text"):
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
-
-
-def path_env(path: str) -> str:
-    return os.path.expandvars(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import setjoin as J
 from . import words
-from .common import bounded_broadcast, documents, small_batches, written
+from .common import BROADCAST_BYTES, bounded_broadcast, documents, small_batches, written
 
 _SCHEMA = "doc_id long, version long, line int, n int, key long"
 
@@ -97,7 +97,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     asked = chosen.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.version").alias("version")).agg(F.collect_set("id").alias("keys"))
     asked = written(asked, "asked")
     keys = asked.agg(F.sum(F.size("keys") + 4)).first()[0] or 0
-    few = F.broadcast(asked) if keys * 8 <= 32 << 20 else asked
+    few = F.broadcast(asked) if keys * 8 <= BROADCAST_BYTES else asked  # counted, and small
     a, b = docs.alias("a"), few.alias("b")
     texts = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.version") == F.col("b.version"))).select("a.text", "b.keys")
     sets = written(texts.mapInArrow(_chosen, "id long, n int, hashes array<long>"), "members").dropDuplicates(["id", "n"])
