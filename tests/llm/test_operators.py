@@ -280,9 +280,10 @@ def test_pruned_search_is_exact():
             tfs.append(rng.integers(1, 4, len(t)))
             sizes.append(len(t))
         ids, lengths = rng.permutation(n * 3)[:n], np.array([x.sum() for x in tfs], float)
-        shard = search.Shard(ids, lengths, np.array(sizes), np.concatenate(terms_), np.concatenate(tfs).astype(np.float32), 9.0)
+        shard = search.Shard(ids, lengths, np.array(sizes), np.concatenate(terms_), np.concatenate(tfs).astype(np.uint32), 9.0)
         query = np.unique(np.r_[rng.integers(0, 12, 6), rng.integers(20, 400, 5)])
-        weights = rng.uniform(0.1, 3, len(query)) if turn % 2 else np.ones(len(query))
+        weights = rng.integers(1, 4, len(query)) if turn % 2 else np.ones(len(query), int)
+        shard.idf[:] = 1
         score = {}
         for d, t, f, size in zip(ids, terms_, tfs, lengths, strict=True):
             s = sum(w * f[t == q][0] * 2.2 / (f[t == q][0] + 1.2 * (0.25 + 0.75 * size / 9.0)) for q, w in zip(query, weights, strict=True) if q in t)
