@@ -14,7 +14,7 @@ from .common import documents, small_batches
 
 UNKNOWN = "und"
 #: Training draws at most this many texts of a language, each of at most so many characters, for at most so many languages.
-PER_LANGUAGE, LONGEST, LANGUAGES = 300, 8192, 200
+PER_LANGUAGE, LONGEST, LANGUAGES = 200, 8192, 200
 #: Buckets for letters, pairs and triples; characters that are scored at a time.
 BUCKETS, STEP = 1 << 12, 1 << 17
 ORDERS = 3
@@ -81,7 +81,7 @@ def machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, c: float = 1.0) -> t
     """Linear support vector machine with squared hinge loss, by accelerated gradient steps; classes weigh the same."""
     n, d = x.shape
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    step = 1.0 / (1e-3 + 2 * c * float((weight * ((x * x).sum(1) + 1)).sum()))
+    step = 1.0 / (1e-3 + 2 * c * float((weight * (np.einsum("ij,ij->i", x, x) + 1)).sum()))
     w = v = np.zeros(d, np.float32)
     b = bv = 0.0
     for t in range(rounds):
@@ -94,10 +94,14 @@ def machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, c: float = 1.0) -> t
 
 def trained(texts: list[str], labels: list[str]) -> Model:
     languages = sorted(set(labels))
-    x = np.stack([features(t) for t in texts]) if texts else np.zeros((0, ORDERS * BUCKETS), np.float32)
-    scale = (1 / (x.std(0) + 1e-4)).astype(np.float32) if len(x) else np.ones(ORDERS * BUCKETS, np.float32)
-    mean = x.mean(0) if len(x) else 0
-    x = (x - mean) * scale / np.sqrt(np.float32(ORDERS * BUCKETS))
+    d = ORDERS * BUCKETS
+    x = np.zeros((len(texts), d), np.float32)  # the only large array, changed in place
+    for k, text in enumerate(texts):
+        x[k] = features(text)
+    mean = x.mean(0) if len(x) else np.zeros(d, np.float32)
+    x -= mean
+    scale = (1 / (np.sqrt(np.einsum("ij,ij->j", x, x) / max(1, len(x))) + 1e-4) / np.sqrt(d)).astype(np.float32)
+    x *= scale
     label = np.array([languages.index(k) for k in labels], int)
     kin = np.array([family(k) for k in languages])
     families = sorted(set(kin)) if len(set(kin)) > 1 else []
@@ -109,13 +113,14 @@ def trained(texts: list[str], labels: list[str]) -> Model:
         else:
             rows = np.flatnonzero(np.isin(label, f))
             y = np.where(label[rows] == f[0], 1.0, -1.0)
-        v, b = machine(x[rows], y.astype(np.float32))
-        margin = float(np.median(np.abs(x[rows] @ v + b)))
-        v = v * scale / np.sqrt(np.float32(ORDERS * BUCKETS))
+        own = x if len(rows) == len(x) else x[rows]
+        v, b = machine(own, y.astype(np.float32))
+        margin = float(np.median(np.abs(own @ v + b)))
+        v = v * scale
         w.append(v)
         bias.append(b - float(mean @ v))
         slope.append(3.0 / max(margin, 1e-6))
-    return Model(languages, families, pairs, np.stack(w, 1).astype(np.float32) if w else np.zeros((ORDERS * BUCKETS, 0), np.float32), np.array(bias), np.array(slope))
+    return Model(languages, families, pairs, np.stack(w, 1).astype(np.float32) if w else np.zeros((d, 0), np.float32), np.array(bias), np.array(slope))
 
 
 def margins(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
