@@ -19,7 +19,7 @@ from .common import small_batches, text_or_empty
 CAPACITY = 2048
 SEPARATOR = 0
 #: Chunks of text, and words, that a worker remembers with their ids (about 200 bytes each); of later ones it remembers none.
-CHUNKS, WORDS = 1 << 18, 1 << 19
+CHUNKS, WORDS = 1 << 17, 1 << 18
 #: Chunks for which lower-casing character by character is str.lower, and normalization changes nothing.
 PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u012f\u0131-\u024f]+")
 # Fixed value: the splitting pattern of the vocabulary file.
