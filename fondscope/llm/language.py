@@ -18,6 +18,8 @@ PER_LANGUAGE, LONGEST, LANGUAGES = 200, 8192, 200
 #: Buckets for letters, pairs and triples; characters that are scored at a time.
 BUCKETS, STEP = 1 << 12, 1 << 17
 ORDERS = 3
+#: Places in a piece of a text that is judged as one, at least and usually; labelled pieces that a language's bound needs.
+SHORT_PIECE, PIECE, ENOUGH = 16, 64, 8
 
 # Families of language codes; a code that isn't listed is a family of its own.
 FAMILIES = {
@@ -35,7 +37,8 @@ _letters: list[np.ndarray] = []
 
 
 class Model(NamedTuple):
-    """weights: a column for each binary machine; families: of the first machines; pairs: (i, j) languages of the others."""
+    """weights: a column for each binary machine; families: of the first machines; pairs: (i, j) languages of the others.
+    usual: a row of log chances of triples for each language; middle, spread: of a place in its pieces; bound: least usual standing."""
 
     languages: list[str]
     families: list[str]
@@ -43,6 +46,10 @@ class Model(NamedTuple):
     weights: np.ndarray
     bias: np.ndarray
     slope: np.ndarray
+    usual: np.ndarray
+    middle: np.ndarray
+    spread: np.ndarray
+    bound: float
 
 
 def family(code: str) -> str:
@@ -77,6 +84,62 @@ def features(text: str) -> np.ndarray:
     return (total / max(1, len(c) - 2)).astype(np.float32)
 
 
+def triples(text: str) -> np.ndarray:
+    """Bucket of each triple that begins with a letter; what lies between two words counts as one space."""
+    c = codes(text)
+    c = np.r_[c[np.r_[True, (c[1:] != 32) | (c[:-1] != 32)]], np.uint32(32), np.uint32(32)]
+    return buckets(c)[-1][c[:-2] != 32] - (ORDERS - 1) * BUCKETS
+
+
+def log_chances(count: np.ndarray) -> np.ndarray:
+    return np.log((count + 0.1) / (count.sum() + 0.1 * len(count))).astype(np.float32)
+
+
+def pieces(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and length of the pieces of a text's values: four at least where they reach SHORT_PIECE, of PIECE or more in long texts."""
+    n = len(value)
+    k = max(1, min(n // SHORT_PIECE, 4), n // PIECE)
+    at = np.arange(k) * n // k
+    size = np.diff(np.r_[at, n])
+    return np.add.reduceat(value, at) / size, size
+
+
+def deviation(x: np.ndarray) -> float:
+    return 1.4826 * float(np.median(np.abs(x - np.median(x))))
+
+
+def usual(texts: list[str], label: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Each language's log chances of triples, the middle and spread of its labelled pieces, and the bound below which a piece
+    is an outlier: three interquartile ranges below the lower quartile of all labelled pieces. Pieces are measured by the other
+    half of their language's texts; a language with fewer than ENOUGH pieces has no bound (infinite spread)."""
+    chances, middle, spread, standings = np.zeros((languages, BUCKETS), np.float32), np.zeros(languages), np.full(languages, np.inf), []
+    for k in range(languages):
+        mine = [t for t in (triples(texts[i]) for i in np.flatnonzero(label == k)) if len(t)]
+        half = [sum((np.bincount(t, minlength=BUCKETS) for t in mine[f::2]), np.zeros(BUCKETS, int)) for f in (0, 1)]
+        chances[k] = log_chances(half[0] + half[1])
+        got = [pieces(log_chances(half[1 - f])[t]) for f in (0, 1) for t in mine[f::2]] if len(mine) > 1 else []
+        if sum(len(n) for _, n in got) < ENOUGH:
+            continue
+        value, n = (np.concatenate(x) for x in zip(*got, strict=True))
+        middle[k] = np.median(value)
+        spread[k] = max(0.1, deviation((value - middle[k]) * np.sqrt(n)))
+        standings.append((value - middle[k]) * np.sqrt(n) / spread[k])
+    q1, q3 = np.percentile(np.concatenate(standings), [25, 75]) if standings else (0.0, 0.0)
+    return chances, middle, spread, float(q1 - 3 * (q3 - q1))
+
+
+def is_usual(text: str, k: int, model: Model) -> bool:
+    """Whether a quarter of the text's pieces or more aren't outliers of language k; other lines and codes may stand beside them."""
+    fine = total = 0
+    for a in range(0, len(text), STEP):
+        t = triples(text[a : a + STEP])
+        if len(t):
+            value, n = pieces(model.usual[k][t])
+            fine += int(((value - model.middle[k]) * np.sqrt(n) >= model.bound * model.spread[k]).sum())
+            total += len(n)
+    return 4 * fine >= total > 0
+
+
 def machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, c: float = 1.0) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by accelerated gradient steps; classes weigh the same."""
     n, d = x.shape
@@ -120,7 +183,7 @@ def trained(texts: list[str], labels: list[str]) -> Model:
         w.append(v)
         bias.append(b - float(mean @ v))
         slope.append(3.0 / max(margin, 1e-6))
-    return Model(languages, families, pairs, np.stack(w, 1).astype(np.float32) if w else np.zeros((d, 0), np.float32), np.array(bias), np.array(slope))
+    return Model(languages, families, pairs, np.stack(w, 1).astype(np.float32) if w else np.zeros((d, 0), np.float32), np.array(bias), np.array(slope), *usual(texts, label, len(languages)))
 
 
 def margins(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -210,10 +273,15 @@ def languages(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(predict, "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, least: float = 0.2) -> DataFrame:
-    """`docs` without the rows that have no language: no letter, or a score below `least` (which plays no part where no row has
-    a `lang` to learn from). Rows and columns are otherwise as they were; null texts go."""
+def accepted(docs: DataFrame) -> DataFrame:
+    """`docs` without the rows that have no language: no letter, or text that is unusual for all learned languages.
+
+    A text is cut into pieces; one is an outlier if its letter triples are less likely than those of almost all labelled pieces
+    (`usual` sets the bound). Texts that have in no language a quarter of other pieces go: gibberish and languages that nobody labelled.
+    Where no row has a `lang` to learn from, only a letter is asked for. Rows and columns are otherwise as they were; null texts go.
+    """
     model = learned(docs)
+    order = {k: sorted(range(len(model.languages)), key=lambda i: model.languages[i] != k) for k in model.languages}  # the predicted one first
     names = docs.columns
     small_batches(docs.sparkSession)
 
@@ -221,8 +289,8 @@ def accepted(docs: DataFrame, least: float = 0.2) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             if model.languages:
-                lang, score = predicted(texts, model)
-                kept = [k != UNKNOWN and s >= least for k, s in zip(lang, score, strict=True)]
+                lang, _ = predicted(texts, model)
+                kept = [k != UNKNOWN and any(is_usual(t, i, model) for i in order[k]) for k, t in zip(lang, texts, strict=True)]
             else:
                 kept = [any(c.isalpha() for c in t or "") for t in texts]
             yield batch.filter(pa.array(kept, pa.bool_()))

@@ -314,6 +314,25 @@ def test_language(spark, odd):
     assert np.allclose(whole, language.margins(["ab cd " * 50000, "x"], model)[0][0], atol=1e-4)
 
 
+def test_texts_without_a_learned_language_go(spark):
+    """Planted gibberish and unlearned languages go, labelled or not; clean documents stay, also held-out, short and mixed ones."""
+    rng = random.Random(7)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    noise = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n)) for n in (15, 40, 200, 3000) for _ in range(5)]
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto"
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem"
+    foreign = [finnish, polish, f"{finnish}\n{polish}" * 30, "Все люди рождаются свободными и равными в своем достоинстве и правах"]
+    own = [r.text for r in docs.filter("lang = 'fr'").orderBy("doc_id").limit(6).collect()]
+    mixed = [f"{t}\n{x[: len(t) // 2]}" for t, x in zip(own, [noise[-1], finnish * 9, polish * 9] * 2, strict=True)]
+    made = [*[(10**6 + k, t, None) for k, t in enumerate(noise + foreign)], *[(2 * 10**6 + k, t, "en") for k, t in enumerate(noise)], *[(3 * 10**6 + k, t, None) for k, t in enumerate(mixed)]]
+    kept = {r.doc_id for r in language.accepted(docs.union(spark.createDataFrame(made, docs.schema))).collect()}
+    clean = {r.doc_id for r in docs.collect()}
+    held = {d for d in clean if zlib.crc32(str(d).encode()) % 3 == 1}
+    assert not {d for d in kept if 10**6 <= d < 3 * 10**6}
+    assert {d for d in kept if d >= 3 * 10**6} == {d for d, _, _ in made if d >= 3 * 10**6}
+    assert len(clean - kept) <= 3 and len(held - kept) <= 2
+
+
 def test_quality(spark, odd):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
