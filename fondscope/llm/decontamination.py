@@ -119,7 +119,7 @@ def in_document(h: np.ndarray, s: np.ndarray, hits: np.ndarray, index: Index) ->
     total = np.zeros((hi - lo + 1, BITS), np.int32)
     np.cumsum(votes(h[lo:hi]), axis=0, out=total[1:])
     for m, x in starts.items():
-        begin = np.unique(np.maximum(np.array(sorted(x)), -m)) if len(h) >= m else np.array([0])
+        begin = np.array(sorted(x))
         a, e = np.maximum(begin, 0), np.minimum(begin + m, len(h))
         a, e = np.unique(np.stack([a[e > a], e[e > a]]), axis=1)
         for w, k, d in index.near(m, fingerprint(total[e - lo] - total[a - lo])):

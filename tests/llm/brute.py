@@ -111,3 +111,22 @@ def contaminated(rows, items):
                     out.add((d, i))
                     break
     return out
+
+
+def contaminated_with_cuts(rows, items):
+    """As `contaminated`, with windows that are cut at the document's ends, for documents of any length."""
+    out = set()
+    for d, text in rows:
+        w = words(text)
+        for i, item in items:
+            v = words(item)
+            m = len(v)
+            grams = lambda x: Counter(tuple(x[k : k + 5]) for k in range(len(x) - 4)) if len(x) >= 5 else Counter([tuple(x)] if x else [])
+            b = grams(v)
+            for a in range(1 - m, len(w)):
+                g = grams(w[max(a, 0) : a + m])
+                least = sum((g & b).values())
+                if least and 100 * least >= 75 * (sum(g.values()) + sum(b.values()) - least):
+                    out.add((d, i))
+                    break
+    return out

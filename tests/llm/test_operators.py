@@ -141,6 +141,21 @@ def test_decontamination(spark, docs, rows, odd):
     assert decontamination.passages(empty(spark), benchmark).count() == 0 and decontamination.passages(docs, benchmark.filter("false")).count() == 0
 
 
+def test_windows_cut_in_short_documents(spark):
+    """Documents with fewer words than the item: a passage without its end or start, beside other words."""
+    rng = random.Random(11)
+    item = [f"i{k}" for k in range(59)]
+    cases = []
+    for before, after in ((9, 0), (0, 9), (1, 1), (5, 4), (0, 0), (11, 0)):
+        for a, z in ((0, 48), (11, 59), (5, 53), (0, 40)):
+            w = [f"x{rng.randrange(999)}" for _ in range(before + after)]
+            cases.append((len(cases), " ".join([*w[:before], *item[a:z], *w[before:]])))
+    items = [(1, " ".join(item)), (2, " ".join(BASE))]
+    made = spark.createDataFrame(cases, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.passages(made, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == brute.contaminated_with_cuts(cases, items) and (0, 1) in found and found > brute.contaminated(cases, items)
+
+
 def test_hamming_blocks():
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 1 << 63))
