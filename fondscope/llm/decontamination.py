@@ -66,7 +66,11 @@ class Index:
         self.blocks = blocks()
         self.table: dict[tuple[int, int, int], list[int]] = defaultdict(list)
         self.with_shingle: dict[int, list[int]] = defaultdict(list)
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))  # by words and shingle
         for k, item in enumerate(items):
+            if item.words < words.SHINGLE:
+                self.short[item.words][next(iter(item.weights))].append(k)
+                continue
             for b, (shift, width) in enumerate(self.blocks):
                 self.table[item.words, b, item.print >> shift & (1 << width) - 1].append(k)
             for s in item.weights:
@@ -75,6 +79,18 @@ class Index:
         self.bits = np.zeros(1 << FILTER_BITS, bool)
         self.bits[(self.shingles >> _U(64 - FILTER_BITS)).astype(np.int64)] = True
 
+    def equal(self, s: words.Slice) -> list[tuple[int, int, int, int]]:
+        """(record, item, first word, words) where a record of the slice first has an item of fewer than five words."""
+        first, out = np.cumsum(s.counts) - s.counts, {}
+        for m, own in self.short.items():
+            at, v = words.short_shingles(s, m)
+            some = np.flatnonzero(np.isin(v, np.array(list(own), _U)))
+            for a, x in zip(at[some].tolist(), v[some].tolist(), strict=True):
+                r = int(np.searchsorted(first, a, "right")) - 1
+                for k in own[x]:
+                    out.setdefault((r, k), (a - int(first[r]), m))
+        return [(r, k, a, m) for (r, k), (a, m) in sorted(out.items())]
+
     def hits(self, s: np.ndarray) -> np.ndarray:
         """Places of shingles that an item has."""
         maybe = np.flatnonzero(self.bits[(s >> _U(64 - FILTER_BITS)).astype(np.int64)])
@@ -107,7 +123,8 @@ def similarity(one: dict[int, int], two: dict[int, int]) -> tuple[int, int]:
 
 def in_document(h: np.ndarray, s: np.ndarray, hits: np.ndarray, index: Index) -> list[tuple[int, int, int, int, float]]:
     """(item, first word, words, distance, similarity) of the best window for each item, from a document's word and shingle
-    hashes. A window without any shingle of an item can't be similar to it, so windows start near a hit only."""
+    hashes. A window without any shingle of an item can't be similar to it, so windows start near a hit only. Items of fewer than
+    five words aren't looked for here (see `Index.equal`)."""
     starts = defaultdict(set)
     for p in hits.tolist():
         for k in index.with_shingle[int(s[p])]:
@@ -136,7 +153,8 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, distance, similarity): the best window of each document (doc_id, text) for each
     benchmark item (item_id, text) whose weighted five-word shingles are 0.75 or more similar.
 
-    Words are runs other than 0x20 and 0x09-0x0D, A-Z lower-cased; a shingle weighs as often as it occurs. Windows have the
+    Words are runs other than 0x20 and 0x09-0x0D, A-Z lower-cased; a shingle weighs as often as it occurs. An item of fewer than
+    five words is one shingle of its length, so its windows are equal to it or not similar at all. Windows have the
     item's number of words and are cut at the document's ends. Fingerprints (64 bits over the words) within RADIUS of an item's
     are all found. Null or empty texts and items match nothing; items of one id and text count once; rows with one doc_id
     each give their rows; ties take the smaller distance, then the earlier window. Other columns are ignored.
@@ -166,6 +184,8 @@ def _search(rows: list[tuple[int, str]]):
             ids, out = batch.column("doc_id"), []
             data, at = words.bytes_of(batch.column("text"))
             for s in words.slices(data, at) if index.items else ():
+                for r, k, first, n in index.equal(s):
+                    out.append((ids[s.first + r].as_py(), index.items[k].item_id, first, n, 0, 1.0))
                 rec, v = words.shingles(s)
                 hits = index.hits(v)
                 if not len(hits):

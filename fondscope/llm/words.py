@@ -21,6 +21,7 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEPS = [_U(x) for x in (1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
+_SHORT = _U(0x2545F4914F6CDD1D)
 _powers: list[np.ndarray] = []
 
 
@@ -136,12 +137,23 @@ def shingles(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     for k in range(SHINGLE - 1):
         has = counts[short] > k
         v[has] += h[first[short[has]] + k] * _STEPS[k]
-    v = mixed(v + counts[short].astype(_U) * _U(0x2545F4914F6CDD1D))
+    v = mixed(v + counts[short].astype(_U) * _SHORT)
     rec, v = np.r_[full_rec, short], np.r_[full, v]
     order = np.argsort(rec, kind="stable")
     return rec[order], v[order]
 
 
+def short_shingles(s: Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of all `size` words in a row, fewer than SHINGLE, within a record: as the shingle of a record of these words."""
+    rec = np.repeat(np.arange(len(s.counts)), s.counts)
+    m = max(0, len(rec) - size + 1)
+    at = np.flatnonzero(rec[:m] == rec[size - 1 :])
+    v = np.zeros(len(at), _U)
+    for k in range(size):
+        v += s.hashes[at + k] * _STEPS[k]
+    return at, mixed(v + _U(size) * _SHORT)
+
+
 def distinct_shingles(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Record and hash of each record's distinct shingles, by record and hash; and how many each record has."""
     rec, v = shingles(s)

@@ -114,14 +114,16 @@ def contaminated(rows, items):
 
 
 def contaminated_with_cuts(rows, items):
-    """As `contaminated`, with windows that are cut at the document's ends, for documents of any length."""
+    """As `contaminated`, with windows that are cut at the document's ends, for documents of any length, and with shingles of the
+    item's length where it has fewer than five words."""
     out = set()
     for d, text in rows:
         w = words(text)
         for i, item in items:
             v = words(item)
             m = len(v)
-            grams = lambda x: Counter(tuple(x[k : k + 5]) for k in range(len(x) - 4)) if len(x) >= 5 else Counter([tuple(x)] if x else [])
+            n = max(1, min(5, m))
+            grams = lambda x, n=n: Counter(tuple(x[k : k + n]) for k in range(len(x) - n + 1)) if len(x) >= n else Counter([tuple(x)] if x else [])
             b = grams(v)
             for a in range(1 - m, len(w)):
                 g = grams(w[max(a, 0) : a + m])

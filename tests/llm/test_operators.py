@@ -156,6 +156,16 @@ def test_windows_cut_in_short_documents(spark):
     assert found == brute.contaminated_with_cuts(cases, items) and (0, 1) in found and found > brute.contaminated(cases, items)
 
 
+def test_items_of_few_words(spark):
+    """Items of one to four words in documents of any length, at their ends and across documents that lie side by side."""
+    items = [(1, "alpha"), (2, "Two words"), (3, "now three words"), (4, "there are four words"), (5, "five words are one shingle"), (6, " ")]
+    texts = ["alpha", "x ALPHA", "two", "words two", "two words", "a b c d two words", "TWO  words a b c d", "now three", "words e f g h now", "three words", "now three words", "i j now three words k l", "there are four", "there are four words", "m there are four words n o p q", "five words are one shingle and more", "there are\nfour words", "", None]
+    made = [(k, t) for k, t in enumerate(texts)]
+    got = decontamination.passages(spark.createDataFrame(made, "doc_id long, text string").coalesce(1), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute.contaminated_with_cuts(made, items) and len(got) == len({(r.doc_id, r.item_id) for r in got}) == 11
+    assert [(r.first_word, r.n_words, r.distance, r.similarity) for r in got if r.doc_id == 5] == [(4, 2, 0, 1.0)]
+
+
 def test_hamming_blocks():
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 1 << 63))
