@@ -160,9 +160,14 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     each give their rows; ties take the smaller distance, then the earlier window. Other columns are ignored.
     The items go to the workers, PASS_BYTES of them at a time: more items take more passes, not more memory.
     """
+    return _versions(docs, benchmark).drop("version")
+
+
+def _versions(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """`passages` with a hash of the document's text in `version`."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _version(), text_or_empty().alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-size // PASS_BYTES))
@@ -174,18 +179,22 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
-_SCHEMA = "doc_id long, item_id long, first_word long, n_words long, distance int, similarity double"
+def _version():
+    return F.xxhash64(text_or_empty()).alias("version")
+
+
+_SCHEMA = "doc_id long, version long, item_id long, first_word long, n_words long, distance int, similarity double"
 
 
 def _search(rows: list[tuple[int, str]]):
     def search(batches):
         index = Index(items_of(rows))
         for batch in batches:
-            ids, out = batch.column("doc_id"), []
+            ids, versions, out = batch.column("doc_id"), batch.column("version"), []
             data, at = words.bytes_of(batch.column("text"))
             for s in words.slices(data, at) if index.items else ():
                 for r, k, first, n in index.equal(s):
-                    out.append((ids[s.first + r].as_py(), index.items[k].item_id, first, n, 0, 1.0))
+                    out.append((ids[s.first + r].as_py(), versions[s.first + r].as_py(), index.items[k].item_id, first, n, 0, 1.0))
                 rec, v = words.shingles(s)
                 hits = index.hits(v)
                 if not len(hits):
@@ -194,19 +203,21 @@ def _search(rows: list[tuple[int, str]]):
                 for r in np.unique(rec[hits]).tolist():
                     a, z = shingle_at[r], shingle_at[r + 1]
                     mine = hits[(hits >= a) & (hits < z)] - a
-                    doc_id = ids[s.first + r].as_py()
+                    doc_id, version = ids[s.first + r].as_py(), versions[s.first + r].as_py()
                     for k, first, n, d, sim in in_document(s.hashes[word_at[r] : word_at[r] + s.counts[r]], v[a:z], mine, index):
-                        out.append((doc_id, index.items[k].item_id, first, n, d, sim))
+                        out.append((doc_id, version, index.items[k].item_id, first, n, d, sim))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()), strict=True)], ["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()), strict=True)], ["doc_id", "version", "item_id", "first_word", "n_words", "distance", "similarity"])
 
     return search
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """`docs` without the documents that hold a passage of the benchmark."""
-    found = passages(docs, benchmark).select(F.col("doc_id").alias("decontamination found")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long") == F.col("`decontamination found`"), "left_anti")
+    """`docs` without the documents that hold a passage of the benchmark. Rows go by doc_id and text: a null doc_id is one like
+    others, and a clean row stays where another one with its doc_id goes."""
+    found = _versions(docs, benchmark).select(F.col("doc_id").alias("decontamination doc"), F.col("version").alias("decontamination version")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("`decontamination doc`")) & (_version() == F.col("`decontamination version`"))
+    return docs.join(found, same, "left_anti")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

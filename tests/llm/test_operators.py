@@ -166,6 +166,13 @@ def test_items_of_few_words(spark):
     assert [(r.first_word, r.n_words, r.distance, r.similarity) for r in got if r.doc_id == 5] == [(4, 2, 0, 1.0)]
 
 
+def test_rows_go_by_doc_id_and_text(spark):
+    item, clean = " ".join(BASE), "nothing of it is here at all"
+    made = [(None, item, "a"), (None, clean, "b"), (None, None, "c"), (1, item, "d"), (1, clean, "e"), (1, item, "f"), (2, None, "g"), (3, f"so {item} so", "h")]
+    left = decontamination.decontaminated(spark.createDataFrame(made, "doc_id long, text string, version string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert left.columns == ["doc_id", "text", "version"] and sorted(r.version for r in left.collect()) == ["b", "c", "e", "g"]
+
+
 def test_hamming_blocks():
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 1 << 63))
