@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from .common import documents, small_batches
 
 UNKNOWN = "und"
-#: Training draws at most this many texts of a language, each of at most so many characters, for at most so many languages.
-PER_LANGUAGE, LONGEST, LANGUAGES = 200, 8192, 200
+#: Training draws at most this many texts of a language, of each at most so many first characters, for at most so many languages.
+PER_LANGUAGE, LONGEST, LANGUAGES = 400, 8192, 200
 #: Buckets for letters, pairs and triples; characters that are scored at a time.
 BUCKETS, STEP = 1 << 12, 1 << 17
+#: Shares of the training table that are multiplied at a time.
+TABLE_BLOCK = 1 << 20
 ORDERS = 3
 #: Places in a piece of a text that is judged as one, at least and usually; labelled pieces that a language's bound needs.
 SHORT_PIECE, PIECE, ENOUGH = 16, 64, 8
@@ -78,10 +80,65 @@ def buckets(c: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def features(text: str) -> np.ndarray:
-    c = codes(text)
-    total = sum(np.bincount(b, minlength=ORDERS * BUCKETS) for b in buckets(c))
-    return (total / max(1, len(c) - 2)).astype(np.float32)
+class Table:
+    """Shares of buckets in texts, only those that aren't 0, and products with the standardized table (each bucket less its mean,
+    times its scale), some rows at a time."""
+
+    def __init__(self, sizes: np.ndarray, bucket: np.ndarray, value: np.ndarray, mean: np.ndarray | None = None, scale: np.ndarray | None = None):
+        self.at = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+        self.bucket, self.value = bucket, value
+        d, n = ORDERS * BUCKETS, max(1, len(sizes))
+        if mean is None:
+            mean = np.bincount(bucket, value, d) / n
+            square = np.bincount(bucket, np.square(value, dtype=float), d) / n
+            scale = 1 / (np.sqrt(np.maximum(0, square - mean * mean)) + 1e-4) / np.sqrt(d)
+        self.mean, self.scale = mean, scale
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Table:
+        got = []
+        for text in texts:
+            c = codes(text)
+            u, n = np.unique(np.concatenate(buckets(c)), return_counts=True)
+            got.append((u.astype(np.uint16), (n / (len(c) - 2)).astype(np.float32)))
+        empty = (np.zeros(0, np.uint16), np.zeros(0, np.float32))
+        bucket, value = (np.concatenate(x) for x in zip(empty, *got, strict=True))
+        return cls(np.array([len(u) for u, _ in got], int), bucket, value)
+
+    def rows(self, some: np.ndarray) -> Table:
+        parts = [slice(self.at[i], self.at[i + 1]) for i in some]
+        return Table(np.diff(self.at)[some], np.concatenate([self.bucket[x] for x in parts]), np.concatenate([self.value[x] for x in parts]), self.mean, self.scale)
+
+    def blocks(self):
+        i, n = 0, len(self.at) - 1
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(self.at, self.at[i] + TABLE_BLOCK, "right")) - 1)
+            yield i, j, slice(self.at[i], self.at[j])
+            i = j
+
+    def sums(self, v: np.ndarray, square: bool = False) -> np.ndarray:
+        """Of each row, the sum of its shares (or their squares) times `v`."""
+        out = np.zeros(len(self.at) - 1)
+        for i, j, x in self.blocks():
+            value = np.square(self.value[x], dtype=float) if square else self.value[x]
+            out[i:j] = np.add.reduceat(value * v[self.bucket[x]], self.at[i:j] - self.at[i])
+        return out
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        v = self.scale * v
+        return self.sums(v) - self.mean @ v
+
+    def turned(self, g: np.ndarray) -> np.ndarray:
+        """`g` times the table."""
+        total = np.zeros(len(self.mean))
+        for i, j, x in self.blocks():
+            total += np.bincount(self.bucket[x], self.value[x] * np.repeat(g[i:j], np.diff(self.at[i : j + 1])), len(total))
+        return (total - g.sum() * self.mean) * self.scale
+
+    def norms(self) -> np.ndarray:
+        """Squared lengths of the rows."""
+        k = self.scale * self.scale
+        return self.sums(k, square=True) - 2 * self.sums(self.mean * k) + self.mean @ (self.mean * k)
 
 
 def triples(text: str) -> np.ndarray:
@@ -140,16 +197,15 @@ def is_usual(text: str, k: int, model: Model) -> bool:
     return 4 * fine >= total > 0
 
 
-def machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, c: float = 1.0) -> tuple[np.ndarray, float]:
+def machine(x: Table, y: np.ndarray, rounds: int = 150, c: float = 1.0) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by accelerated gradient steps; classes weigh the same."""
-    n, d = x.shape
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    step = 1.0 / (1e-3 + 2 * c * float((weight * (np.einsum("ij,ij->i", x, x) + 1)).sum()))
-    w = v = np.zeros(d, np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    step = 1.0 / (1e-3 + 2 * c * float((weight * (x.norms() + 1)).sum()))
+    w = v = np.zeros(len(x.mean))
     b = bv = 0.0
     for t in range(rounds):
-        gap = np.maximum(0, 1 - y * (x @ v + bv)) * weight * y
-        nw, nb = v - step * (1e-3 * v - 2 * c * (gap @ x)), bv + step * 2 * c * float(gap.sum())
+        gap = np.maximum(0, 1 - y * (x.times(v) + bv)) * weight * y
+        nw, nb = v - step * (1e-3 * v - 2 * c * x.turned(gap)), bv + step * 2 * c * float(gap.sum())
         m = t / (t + 3)
         v, bv, w, b = nw + m * (nw - w), nb + m * (nb - b), nw, nb
     return w, b
@@ -158,30 +214,27 @@ def machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, c: float = 1.0) -> t
 def trained(texts: list[str], labels: list[str]) -> Model:
     languages = sorted(set(labels))
     d = ORDERS * BUCKETS
-    x = np.zeros((len(texts), d), np.float32)  # the only large array, changed in place
-    for k, text in enumerate(texts):
-        x[k] = features(text)
-    mean = x.mean(0) if len(x) else np.zeros(d, np.float32)
-    x -= mean
-    scale = (1 / (np.sqrt(np.einsum("ij,ij->j", x, x) / max(1, len(x))) + 1e-4) / np.sqrt(d)).astype(np.float32)
-    x *= scale
+    x = Table.of(texts)
     label = np.array([languages.index(k) for k in labels], int)
     kin = np.array([family(k) for k in languages])
     families = sorted(set(kin)) if len(set(kin)) > 1 else []
     pairs = [(i, j) for i, j in combinations(range(len(languages)), 2) if kin[i] == kin[j]]
     w, bias, slope = [], [], []
-    for f in [*families, *pairs]:
+    for k, f in enumerate([*families, *pairs]):
+        if k == 1 and len(families) == 2:  # the mirror of the first
+            w, bias, slope = [*w, -w[0]], [*bias, -bias[0]], [*slope, slope[0]]
+            continue
         if isinstance(f, str):
             rows, y = np.arange(len(label)), np.where(kin[label] == f, 1.0, -1.0)
         else:
             rows = np.flatnonzero(np.isin(label, f))
             y = np.where(label[rows] == f[0], 1.0, -1.0)
-        own = x if len(rows) == len(x) else x[rows]
-        v, b = machine(own, y.astype(np.float32))
-        margin = float(np.median(np.abs(own @ v + b)))
-        v = v * scale
+        own = x if len(rows) == len(label) else x.rows(rows)
+        v, b = machine(own, y)
+        margin = float(np.median(np.abs(own.times(v) + b)))
+        v = v * x.scale
         w.append(v)
-        bias.append(b - float(mean @ v))
+        bias.append(b - float(x.mean @ v))
         slope.append(3.0 / max(margin, 1e-6))
     return Model(languages, families, pairs, np.stack(w, 1).astype(np.float32) if w else np.zeros((d, 0), np.float32), np.array(bias), np.array(slope), *usual(texts, label, len(languages)))
 
@@ -244,9 +297,11 @@ def predicted(texts: list[str | None], model: Model) -> tuple[list[str], np.ndar
 
 def learned(docs: DataFrame, remainder: int = 1, divisor: int = 3) -> Model:
     """Fit on documents whose crc32(doc_id as text) mod `divisor` isn't `remainder`: at most PER_LANGUAGE texts of each
-    language (by a hash of doc_id; none longer than LONGEST) reach the driver, of the LANGUAGES most frequent ones. Before they are
+    language (by a hash of doc_id; of each its first LONGEST characters, if these have a letter) reach the driver, of the LANGUAGES
+    most frequent ones. Rarer languages aren't learned: their documents are predicted as other ones. Before they are
     ranked, each language's documents are thinned by the same hash to about four times as many as are wanted."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).filter((F.crc32(F.col("doc_id").cast("string")) % divisor != remainder) & (F.length("text") <= LONGEST) & F.col("text").rlike(r"\p{L}"))
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).filter(F.crc32(F.col("doc_id").cast("string")) % divisor != remainder)
+    known = known.withColumn("text", F.substring(F.col("text").cast("string"), 1, LONGEST)).filter(F.col("text").rlike(r"\p{L}"))
     known = known.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     often = F.broadcast(known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 40))

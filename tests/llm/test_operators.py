@@ -346,6 +346,29 @@ def test_language(spark, odd):
     assert np.allclose(whole, language.margins(["ab cd " * 50000, "x"], model)[0][0], atol=1e-4)
 
 
+def test_training_table(spark):
+    """The compact table gives a dense one's products, also across blocks; languages with long texts only are learned."""
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice(a) for _ in range(5)) for _ in range(rng.randint(1, 60))) for a in ("abcd", "cdef", "wxyz") for _ in range(30)]
+    x, d = language.Table.of(texts), language.ORDERS * language.BUCKETS
+    dense = np.zeros((len(texts), d))
+    for k, t in enumerate(texts):
+        c = language.codes(t)
+        for b in language.buckets(c):
+            np.add.at(dense[k], b, 1 / (len(c) - 2))
+    dense = (dense - dense.mean(0)) / (dense.std(0) + 1e-4) / np.sqrt(d)
+    v, some = np.random.default_rng(1).normal(size=d), np.array([80, 3, 4, 50])
+    for table, want in ((x, dense), (x.rows(some), dense[some])):
+        g = np.arange(len(want)) - 1.5
+        before, language.TABLE_BLOCK = language.TABLE_BLOCK, 150
+        assert np.allclose(table.times(v), want @ v, atol=1e-3) and np.allclose(table.turned(g), g @ want, atol=1e-3) and np.allclose(table.norms(), (want * want).sum(1), atol=1e-3)
+        language.TABLE_BLOCK = before
+    made = [(k, t if k % 2 else f"{t} " * 3000, "it" if k % 2 else "fi") for k, t in enumerate(x for pair in zip(texts[30:60], texts[60:], strict=True) for x in pair)]
+    model = language.learned(spark.createDataFrame(made, "doc_id long, text string, lang string"))
+    assert model.languages == ["fi", "it"] and language.PER_LANGUAGE == 400
+    assert language.predicted([texts[30], texts[60], texts[59] * 900], model)[0] == ["fi", "it", "fi"]
+
+
 def test_texts_without_a_learned_language_go(spark):
     """Planted gibberish and unlearned languages go, labelled or not; clean documents stay, also held-out, short and mixed ones."""
     rng = random.Random(7)
