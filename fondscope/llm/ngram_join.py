@@ -58,12 +58,13 @@ def similar_sets(docs: DataFrame) -> DataFrame:
        against the first of its lists only, and the links found make preliminary components. This is repeated with other
        heads, for sets of other components than the head's, while it finds links (at most ROUNDS times);
     2. posting lists are cut into blocks of one component and size class, with the lowest position in each. A pair of
-       blocks is skipped as a whole if it is of one component (its answers are derived from step 1), if the size
+       blocks is skipped as a whole if it is of one component (membership is known from step 1), if the size
        classes aren't neighbours, or if the best positions can't reach the needed overlap;
     3. the pairs of the blocks left are filtered by length and position and verified on the whole sets. Components whose blocks
        meet in many lists are paired once, member by member, if that gives fewer pairs.
 
-    So no two sets that are already known to be connected are compared, and no list's pairs are all emitted.
+    So no two sets that are already known to be connected are compared, and no list's pairs are all emitted. Only component
+    membership is derived: links inside a component are not enumerated, and a set's own answers are nowhere listed.
     Null and empty texts have no shingle and are linked with nothing; rows with one doc_id are one vertex; repeated rows
     appear as often as they occur. Null doc_id: kept, in a component of its own (null). Other columns are ignored.
     """
