@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.temporal import record_years
 from ..schema import DATASETS, YEARS, Dataset
-from ..sources import records
+from ..sources import nested, records
 from ..sources.attributes import read_attributes, write_attributes
 
 #: How the records of each format are read.
@@ -19,12 +19,14 @@ READERS = {
     "iso2709": records.read_iso2709,
     "picaxml": records.read_picaxml,
     "prefixed": lambda spark, path: records.read_prefixed(spark.read.text(path)),
+    "documents": nested.read_documents,
 }
 
 
 def ingest(spark: SparkSession, dataset: Dataset, inputs: str, to: str) -> DataFrame:
     """Read a dataset's records from its input files below `inputs`, and write its attribute table to `to`/<dataset>.parquet."""
-    rows = records.flatten_records(READERS[dataset.format](spark, f"{inputs}/{dataset.inputs}"))
+    read = READERS[dataset.format](spark, f"{inputs}/{dataset.inputs}")
+    rows = nested.flatten_documents(read, "_id", "data") if dataset.format == "documents" else records.flatten_records(read)
     return write_attributes(rows, f"{to}/{dataset.dataset}.parquet")
 
 

@@ -152,6 +152,14 @@ def test_iso2709_and_pica(spark, tmp_path):
     assert [r[3:] for r in pica] == [("003@", "0", "1"), ("028C/01", "a", " x")]
 
 
+def test_every_dataset_is_read(spark, tmp_path):
+    assert {d.format for d in DATASETS} == set(catalogues.READERS)
+    (tmp_path / "a.jsonl").write_text('{"_id": "i2", "data": {"t": "x", "l": ["y", {"k": [1, 2], "m": "[z]"}]}}\n\n{"_id": "i1", "data": {"t": "é"}}\n', "utf-8")
+    istc = next(d for d in DATASETS if d.dataset == "istc")
+    got = rows(catalogues.ingest(spark, istc, f"file://{tmp_path}", f"file://{tmp_path}/out"), "record_number", "field_number", "subfield_number")
+    assert got == [(1, 1, 1, "id", "", "i1"), (1, 2, 1, "t", "", "é"), (2, 1, 1, "id", "", "i2"), (2, 2, 1, "t", "", "x"), (2, 3, 1, "l", "", "y"), (2, 4, 1, "l", "k", "1"), (2, 4, 2, "l", "k", "2"), (2, 4, 3, "l", "m", "[z]")]
+
+
 def test_harvest(spark):
     df = spark.createDataFrame([(("deleted", "1", "2024-01-01", "s"), None), ((None, "2", "2024-01-31", "s"), None), ((None, "3", "2024-02-01", "t"), None)], "header struct<_status:string,identifier:string,datestamp:string,setSpec:string>, metadata struct<record:struct<leader:string>>")
     ids = lambda x: sorted(r.header.identifier for r in x.collect())
