@@ -301,29 +301,44 @@ def test_search(spark, docs, rows, odd):
     assert search.top_k(empty(spark), asked).count() == 0 and search.top_k(odd, asked.filter("false")).count() == 0
 
 
-def test_pruned_search_is_exact():
-    """Random shards of frequent and rare terms, with many ties, against scores of all documents."""
+def test_pruned_search_is_exact(monkeypatch):
+    """Random documents of frequent and rare terms in two kinds, with many ties, in one shard or several that carry thresholds, against
+    scores of all documents."""
+    monkeypatch.setattr(search, "BLOCK", 8)
+    monkeypatch.setattr(search, "TOGETHER", 3)
     rng = np.random.default_rng(4)
-    for turn in range(30):
-        n, terms_, tfs, sizes = int(rng.integers(1, 400)), [], [], []
-        for _ in range(n):
-            t = np.unique(np.r_[rng.integers(0, 12, rng.integers(0, 12)), rng.integers(20, 400, rng.integers(0, 6))])
+    for turn in range(40):
+        n, terms_, tfs = int(rng.integers(1, 700)), [], []
+        for d in range(n):
+            t = np.unique(np.r_[rng.integers(0, 12, rng.integers(0, 12)) + 500 * (d % 3 == 0), rng.integers(20, 400, rng.integers(0, 6))])
             terms_.append(t)
-            tfs.append(rng.integers(1, 4, len(t)))
-            sizes.append(len(t))
+            tfs.append(rng.integers(1, 4, len(t)).astype(np.int32))
         ids, lengths = rng.permutation(n * 3)[:n], np.array([x.sum() for x in tfs], float)
-        shard = search.Shard(ids, lengths, np.array(sizes), np.concatenate(terms_), np.concatenate(tfs).astype(np.uint32), 9.0)
-        query = np.unique(np.r_[rng.integers(0, 12, 6), rng.integers(20, 400, 5)])
-        weights = rng.integers(1, 4, len(query)) if turn % 2 else np.ones(len(query), int)
-        shard.idf[:] = 1
-        score = {}
-        for d, t, f, size in zip(ids, terms_, tfs, lengths, strict=True):
-            s = sum(w * f[t == q][0] * 2.2 / (f[t == q][0] + 1.2 * (0.25 + 0.75 * size / 9.0)) for q, w in zip(query, weights, strict=True) if q in t)
-            if s > 0:
-                score[int(d)] = round(s, 6)
-        want = sorted(score, key=lambda d: (-score[d], d))[:10]
-        got, found = shard.best(query, weights, 10)
-        assert got.tolist() == want and np.allclose(found, [score[d] for d in want], atol=2e-6)
+        asked = [np.unique(np.r_[rng.integers(0, 12, 6) + 500 * (k % 2), rng.integers(20, 400, 5)]) for k in range(7)] + [np.array([999])]
+        weights = [rng.integers(1, 4, len(t)) if turn % 2 else np.ones(len(t), int) for t in asked]
+        queries = search.Queries(np.arange(8), np.zeros(8, np.int64), np.array([len(t) for t in asked]), np.concatenate(asked), np.concatenate(weights), np.concatenate([1.0 + t % 9 for t in asked]), 20, 10)
+        for part in np.array_split(np.arange(n), turn % 4 + 1):
+            if len(part):
+                search.Shard(queries, ids[part], lengths[part], np.array([len(terms_[d]) for d in part]), np.concatenate([terms_[d] for d in part]), np.concatenate([tfs[d] for d in part]), 9.0).answer(queries)
+        for q, (t, w) in enumerate(zip(asked, weights, strict=True)):
+            weight = {int(x): float(y * np.log(1 + (20 - (1 + x % 9) + 0.5) / (1.5 + x % 9))) for x, y in zip(t, w, strict=True)}
+            score = {int(d): sum(weight.get(int(x), 0) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * size / 9.0)) for x, f in zip(xs, fs, strict=True)) for d, xs, fs, size in zip(ids, terms_, tfs, lengths, strict=True)}
+            want = sorted((-round(s, 6), d) for d, s in score.items() if s > 0)[:10]
+            some = np.isfinite(queries.scores[q])
+            assert queries.best[q][some].tolist() == [d for _, d in want] and np.allclose(queries.scores[q][some], [-s for s, _ in want], atol=2e-6)
+
+
+def test_search_in_many_tasks(spark, docs, rows, monkeypatch):
+    """Queries of more than one task's share, repeated ones, and two texts of one id."""
+    monkeypatch.setattr(search, "QUERY_BYTES", 20_000)
+    texts = [(d, t) for d, t in rows if d % 10 == 0]
+    asked = spark.createDataFrame([*texts, *texts[:3], (-1, texts[0][1]), (-1, texts[1][1])], "query_id long, text string")
+    got = {}
+    for r in search.top_k(docs, asked).orderBy("query_id", "rank", "doc_id").collect():
+        got.setdefault(r.query_id, []).append(r.doc_id)
+    want = brute.bm25(rows, texts)
+    assert {q: x for q, x in got.items() if q != -1} == {q: [d for d, _ in x] for q, x in want.items() if x}
+    assert sorted(got[-1]) == sorted(d for q in (texts[0][0], texts[1][0]) for d, _ in want[q])
 
 
 def test_language(spark, odd):
