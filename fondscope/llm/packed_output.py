@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, small_batches, text_or_empty
 from .packing import best_fit_decreasing
-from .tokens import CAPACITY, SEPARATOR, ids_of, vocabulary
+from .tokens import CAPACITY, SEPARATOR, forgetting, ids_of, vocabulary
 
 #: Ids that a task holds before it packs them (4 bytes each). Each such batch leaves about one sequence partly empty.
 HELD = 1 << 22
@@ -60,7 +60,7 @@ def packed_rows(docs: DataFrame, path: str | None = None, capacity: int = CAPACI
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), _TYPES.values(), strict=True)], list(_TYPES))
 
         held, size = [], 0
-        for batch in batches:
+        for batch in forgetting(path, batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = ids_of(text, path)
                 held += [(doc_id, k, ids[at : at + step]) for k, at in enumerate(range(0, len(ids), step))]

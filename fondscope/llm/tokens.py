@@ -5,12 +5,11 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +17,15 @@ from .common import small_batches, text_or_empty
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Chunks of text, and words, that a worker remembers with their ids (about 200 bytes each); of later ones it remembers none.
-CHUNKS, WORDS = 1 << 17, 1 << 18
-#: Chunks for which lower-casing character by character is str.lower, and normalization changes nothing.
-PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u012f\u0131-\u024f]+")
-# Fixed value: the splitting pattern of the vocabulary file.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Chunks between white space, and words in them, that a task remembers with their ids (about 150 bytes each); of later ones it
+#: remembers none.
+CHUNKS, WORDS = 1 << 19, 1 << 19
+#: Texts and chunks for which lower-casing character by character is str.lower, and normalization changes nothing.
+_LETTERS = "a-zÀ-ÖØ-öø-įı-ɏ"
+PLAIN = re.compile(r"[\t-\r\x20-\x7eÀ-įı-ɏ]*")
+_SPACE = re.compile(r"[\t-\r ]+")
+# Fixed value: the splitting pattern of the vocabulary file, for lower-cased plain texts.
+WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -32,12 +34,26 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+class _Remembered(dict):
+    """Values of `f`, of the first `most` keys that are asked for."""
+
+    def __init__(self, f: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.f, self.most = f, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.f(key)
+        if len(self) < self.most and len(key) < 256:
+            self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of texts by a tokenizer file that lower-cases, splits by WORD and drops white space.
 
     Chunks between white space are encoded one by one and remembered, since most chunks of a corpus repeat: the file's
-    normalizer and splitter never look across white space. A plain chunk's words go to the file's model directly, any other chunk
-    to the whole tokenizer.
+    normalizer and splitter never look across white space. The words of a plain text's chunks go to the file's model, the chunks of
+    other texts, if they aren't plain themselves, to the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -46,39 +62,44 @@ class Encoder:
 
         self.all = Tokenizer.from_file(path)
         self.model, self.split = self.all.model, self.all.pre_tokenizer.pre_tokenize_str
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[bytes, bytes] = {}
-
-    def word(self, w: str) -> bytes:
-        ids = self.words.get(w)
-        if ids is None:
-            shown = w if w.isascii() else "".join(x for x, _ in self.split(w))
-            ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.words) < WORDS:
-                self.words[w] = ids
-        return ids
-
-    def chunk(self, raw: bytes) -> bytes:
-        text = raw.decode("utf-8", "replace")
-        if PLAIN.fullmatch(text) and "<|" not in text:
-            ids = b"".join(map(self.word, WORD.findall(text.lower())))
-        else:
-            ids = np.array(self.all.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.chunks) < CHUNKS and len(raw) < 256:
-            self.chunks[raw] = ids
-        return ids
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.chunks, self.odd = (_Remembered(f, n) for f, n in ((self._word, WORDS), (self._chunk, CHUNKS), (self._odd, CHUNKS)))
+
+    def _word(self, w: str) -> bytes:
+        shown = w if w.isascii() else "".join(x for x, _ in self.split(w))
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _chunk(self, c: str) -> bytes:
+        if c.isalpha():
+            return self.words[c]
+        if c[:-1].isalpha() and c[-1] in ".,;:!?":
+            return self.words[c[:-1]] + self.words[c[-1]]
+        return b"".join(map(self.words.__getitem__, WORD.findall(c)))
+
+    def _odd(self, c: str) -> bytes:
+        if PLAIN.fullmatch(c) and "<|" not in c:
+            return self.chunks[c.lower()]
+        return array("I", self.all.encode(c, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        known, chunk, out = self.chunks.get, self.chunk, []
-        for c in text.encode("utf-8", "replace").split():
-            ids = known(c)
-            out.append(chunk(c) if ids is None else ids)
-        return b"".join(out)
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.chunks.__getitem__, text.lower().split()))
+        return b"".join(map(self.odd.__getitem__, filter(None, _SPACE.split(text))))
 
 
 _encoder = lru_cache(maxsize=2)(Encoder)
 
 
+def forgetting(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The task's batches; at its end the worker, which serves other tasks too, drops what it has remembered."""
+    try:
+        yield from batches
+    finally:
+        _encoder(path).forget()
+
+
 def ids_of(text: str, path: str) -> bytes:
     """The text's ids as little-endian unsigned 32-bit numbers, followed by SEPARATOR."""
     return _encoder(path)(text) + SEPARATOR.to_bytes(4, "little")
@@ -104,7 +125,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def cut(batches):
-        for batch in batches:
+        for batch in forgetting(path, batches):
             got = list(zip(*rows(batch), strict=True))
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(got, types, strict=True)], names)
