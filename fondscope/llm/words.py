@@ -18,18 +18,8 @@ SHINGLE = 5
 HASH_BITS = 50
 RECORDS = 1 << (64 - HASH_BITS)
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _STEPS = [_U(x) for x in (1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 _SHORT = _U(0x2545F4914F6CDD1D)
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        n = max(n, SLICE + 1)
-        _powers[:] = [np.multiply.accumulate(np.r_[_U(1), np.full(n - 1, b, _U)]) for b in (_BASE, _INVERSE)]
-    return _powers
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -73,12 +63,27 @@ def word_hashes(b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     stop[:-1] = space[1:] | fresh[1:n]
     stop[-1] = True
     end = np.flatnonzero(stop & ~space) + 1
-    up, down = _power_tables(n + 1)
-    total = np.empty(n + 1, _U)
-    total[0] = 0
-    np.cumsum((b.astype(_U) + _U(1)) * up[:n], out=total[1:])
-    h = (total[end] - total[start]) * down[start]
-    return mixed(h + (end - start).astype(_U) * _STEPS[1]), start, end
+    return _hashed(b, start, end - start), start, end
+
+
+def _hashed(b: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hash of the bytes b[start:start + length]: each 8 of them are mixed with their place before they are summed, so that what
+    cancels in one place of a sum needn't in another."""
+    padded = np.concatenate([b, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(b) + 1,), "<u8", padded, 0, (1,))  # the 8 bytes that begin at each place
+    parts = (length + 7) >> 3
+    first = np.cumsum(parts) - parts
+    if not len(start) or parts[-1] + first[-1] == len(start):  # no word of more than 8 bytes
+        at, left, salt = start, length, _STEPS[2]
+    else:
+        nth = np.arange(int(parts.sum())) - np.repeat(first, parts)
+        at, left = np.repeat(start, parts) + 8 * nth, np.repeat(length, parts) - 8 * nth
+        salt = (nth.astype(_U) + _U(1)) * _STEPS[2]
+    kept = np.minimum(left, 8).astype(_U) << _U(3)
+    h = mixed((eight[at] & (~_U(0) >> (_U(64) - kept))) ^ salt)
+    if len(h) > len(start):
+        h = np.add.reduceat(h, first)
+    return mixed(h + length.astype(_U) * _STEPS[1])
 
 
 class Slice(NamedTuple):
