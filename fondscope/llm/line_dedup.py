@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import setjoin as J
 from . import words
@@ -122,21 +123,34 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 _MADE = {k: f"line_dedup {k}" for k in ("doc", "version", "lines", "n_lines", "n_removed")}  # names that no table has
 
 
+def _cut(batches):
+    """Texts without the lines that go, and how many lines there were and went."""
+    for batch in batches:
+        texts, counts, removed = batch.column("text").to_pylist(), [], []
+        for i, (text, lines) in enumerate(zip(texts, batch.column(_MADE["lines"]).to_pylist(), strict=True)):
+            counts.append(0 if text is None else text.count("\n") + 1)
+            removed.append(len(lines or ()))
+            if lines:
+                gone = set(lines)
+                texts[i] = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+        batch = batch.drop_columns([_MADE["lines"]])
+        at = batch.schema.get_field_index("text")
+        batch = batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type))
+        yield batch.append_column(_MADE["n_lines"], pa.array(counts, pa.int64())).append_column(_MADE["n_removed"], pa.array(removed, pa.int64()))
+
+
 def _cleaned(docs: DataFrame) -> DataFrame:
     """`docs` with its texts less the repeated lines, and how many lines there were and went, under the names in _MADE."""
     small_batches(docs.sparkSession)
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     m = {k: F.col(f"`{v}`") for k, v in _MADE.items()}
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    text = F.coalesce(F.col("text"), F.lit(""))
     gone = repeated_lines(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text")))
     gone = gone.select(F.col("doc_id").alias(_MADE["doc"]), F.col("version").alias(_MADE["version"]), F.col("lines").alias(_MADE["lines"])).hint("shuffle_hash")
     full = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(m["doc"]) & (F.xxhash64(text) == m["version"]), "left")
-    parts = F.split("text", "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), m["lines"])
-    kept = F.array_join(F.transform(left, lambda k: F.element_at(parts, k + 1)), "\n")
-    full = full.withColumn(_MADE["n_lines"], F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"))
-    full = full.withColumn(_MADE["n_removed"], F.when(m["lines"].isNull(), 0).otherwise(F.size(m["lines"])).cast("long"))
-    full = full.withColumn("text", F.when(m["lines"].isNotNull(), kept).otherwise(F.col("text")))
-    return full.drop(_MADE["doc"], _MADE["version"], _MADE["lines"])
+    full = full.select(m["lines"], *(F.col(f"`{c}`") for c in docs.columns))
+    made = StructType([*docs.schema.fields, *(StructField(_MADE[k], LongType()) for k in ("n_lines", "n_removed"))])
+    return full.mapInArrow(_cut, made)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
