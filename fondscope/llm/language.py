@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from .common import documents, small_batches
 
 UNKNOWN = "und"
-#: Training draws at most this many texts of a language, of each at most so many first characters, for at most so many languages.
-PER_LANGUAGE, LONGEST, LANGUAGES = 400, 8192, 200
+#: Training draws at most this many texts of a language, of each at most so many first characters. Of more than TEXTS /
+#: PER_LANGUAGE languages it draws fewer texts each, TEXTS in all, but for the FEWEST that each language has at least.
+PER_LANGUAGE, LONGEST, TEXTS, FEWEST = 400, 8192, 40_000, 25
 #: Buckets for letters, pairs and triples; characters that are scored at a time.
 BUCKETS, STEP = 1 << 12, 1 << 17
 #: Shares of the training table that are multiplied at a time.
@@ -295,20 +296,27 @@ def predicted(texts: list[str | None], model: Model) -> tuple[list[str], np.ndar
     return out, score
 
 
+def per_language(languages: int) -> int:
+    """How many texts of each of so many languages are learned from."""
+    return min(PER_LANGUAGE, max(FEWEST, TEXTS // max(1, languages)))
+
+
 def learned(docs: DataFrame, remainder: int = 1, divisor: int = 3) -> Model:
     """Fit on documents whose crc32(doc_id as text) mod `divisor` isn't `remainder`: at most PER_LANGUAGE texts of each
-    language (by a hash of doc_id; of each its first LONGEST characters, if these have a letter) reach the driver, of the LANGUAGES
-    most frequent ones. Rarer languages aren't learned: their documents are predicted as other ones. Before they are
-    ranked, each language's documents are thinned by the same hash to about four times as many as are wanted."""
+    language (by a hash of doc_id; of each its first LONGEST characters, if these have a letter) reach the driver, and about TEXTS
+    in all: every language is learned, many of them from fewer texts each. Before they are ranked, each language's documents
+    are thinned by the same hash to about four times as many as are wanted."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).filter(F.crc32(F.col("doc_id").cast("string")) % divisor != remainder)
     known = known.withColumn("text", F.substring(F.col("text").cast("string"), 1, LONGEST)).filter(F.col("text").rlike(r"\p{L}"))
     known = known.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-    often = F.broadcast(known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language
+    each = per_language(len(counts))
+    often = F.broadcast(docs.sparkSession.createDataFrame(counts, "lang string, n long"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 40))
-    drawn = known.select("doc_id", "lang").join(often, "lang").filter(draw < F.lit(4.0 * PER_LANGUAGE * (1 << 40)) / F.col("n"))
+    drawn = known.select("doc_id", "lang").join(often, "lang").filter(draw < F.lit(4.0 * each * (1 << 40)) / F.col("n"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id")
-    some = drawn.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= PER_LANGUAGE)
-    rows = known.join(F.broadcast(some.select("doc_id").distinct()), "doc_id", "left_semi").orderBy("doc_id", "lang", "text").limit(LANGUAGES * PER_LANGUAGE).collect()
+    some = drawn.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= each)
+    rows = known.join(F.broadcast(some.select("doc_id").distinct()), "doc_id", "left_semi").orderBy("doc_id", "lang", "text").limit(each * max(1, len(counts))).collect()
     return trained([r.text for r in rows], [r.lang for r in rows])
 
 
