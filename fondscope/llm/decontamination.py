@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words
-from .common import documents, small_batches, text_or_empty
+from .common import documents, small_batches, text_or_empty, written
 
 BITS, RADIUS = 64, 20
 PERCENT = 75
@@ -158,7 +158,8 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item's number of words and are cut at the document's ends. Fingerprints (64 bits over the words) within RADIUS of an item's
     are all found. Null or empty texts and items match nothing; items of one id and text count once; rows with one doc_id
     each give their rows; ties take the smaller distance, then the earlier window. Other columns are ignored.
-    The items go to the workers, PASS_BYTES of them at a time: more items take more passes, not more memory.
+    The items go to the workers, PASS_BYTES of them at a time: more items take more passes, each of which is written before the next
+    one begins, and not more memory.
     """
     return _versions(docs, benchmark).drop("version")
 
@@ -175,6 +176,7 @@ def _versions(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for k in range(passes):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).orderBy("item_id", "text").collect()  # about PASS_BYTES
         found = docs.mapInArrow(_search([(r.item_id, r.text) for r in rows]), _SCHEMA)
+        found = found if passes == 1 else written(found, "passages")
         out = found if out is None else out.union(found)
     return out
 
