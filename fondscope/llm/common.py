@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,19 +14,25 @@ BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that all executors share, from spark.checkpoint.dir; a temporary one where that is unset and all run on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
         found = tempfile.mkdtemp(prefix="fondscope-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back: later plans start from files that survive lost executors."""
+    """Write `df` once to the shared folder and read it back: later plans start from files that survive lost executors.
+
+    The files go when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/fondscope-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -33,11 +40,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Python workers get at most `rows` rows at a time, so that long texts don't fill their memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, most: int = 16 << 20) -> None:
+    """Python workers get at most `rows` rows, and about `most` bytes, at a time, so that long texts don't fill their memory.
+
+    The settings are the session's, and are only ever lowered."""
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", most)):
+        if int(spark.conf.get(key).rstrip("b")) > value:
+            spark.conf.set(key, str(value))
 
 
 def bounded_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:

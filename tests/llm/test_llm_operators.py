@@ -1,6 +1,7 @@
 """The operators against plain versions, on the small tables and on edge cases."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -54,6 +55,20 @@ def test_words_and_shingles(rows):
     assert seen == [len(brute.words(t)) for t in texts] and sizes == [len(brute.shingle_set(t)) for t in texts]
 
 
+def test_long_words_of_two_letters():
+    """Words whose letters follow the Thue-Morse order cancel in any sum of powers modulo a power of 2, so theirs must not be one."""
+    word, other = "a", "b"
+    for _ in range(12):
+        word, other = word + other, other + word
+        data = np.frombuffer(f"{word} {other} x{word}".encode(), np.uint8)
+        h = [x for s in words.slices(data, np.array([0, len(data)])) for x in s.hashes.tolist()]
+        assert len(set(h)) == 3
+    many = " ".join("a" * k for k in range(1, 200))
+    data = np.frombuffer(f"{many} {many}".encode(), np.uint8)
+    (s,) = words.slices(data, np.array([0, len(data)]))
+    assert len(set(s.hashes.tolist())) == 199 and s.hashes[:199].tolist() == s.hashes[199:].tolist()
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(150)]
@@ -173,6 +188,14 @@ def test_rows_go_by_doc_id_and_text(spark):
     assert left.columns == ["doc_id", "text", "version"] and sorted(r.version for r in left.collect()) == ["b", "c", "e", "g"]
 
 
+def test_items_in_passes(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(decontamination, "PASS_BYTES", 4000)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert sum(len(t) for _, t in items) > 8000
+    got = decontamination.passages(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == brute.contaminated(rows, items)
+
+
 def test_hamming_blocks():
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 1 << 63))
@@ -191,6 +214,8 @@ def test_pii(spark, rows, odd):
         return out + [("phone", *m.span()) for m in pii.PHONE.finditer(t) if 8 <= len(pii.digits(m[0])) <= 15]
 
     made = ["a@b.c@d.e.f x@y", "@@a@b.cc", "a" * 9000 + "@b.cc d@e.f", "x@y.z@q.w.e a.b@c-d.e.", "1.2.3.4.5.6.7.8 300.1.1.1 0000000000001.2.3.4", "4532015112830366 4532015112830366", "é +1 (234) 555-0199. +12 3", "4532-0151-1283-0366", ""]
+    rng = random.Random(3)
+    made += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for alphabet in ("a_@.b", "1.2", "12.@a -+(") for _ in range(3000)]
     for t in [t for _, t in rows] + made:
         assert pii.base_spans(t) == base(t)
     found = {(s["kind"], s["start"]) for s in pii.spans("card 4532015112830366 4532015112830366 iban GB82 WEST 1234 5698 7654 32.")}
@@ -200,9 +225,22 @@ def test_pii(spark, rows, odd):
     assert len(out) == odd.count() and all(r.spans == [] for r in out) and pii.personal_data(empty(spark)).count() == 0
     df = spark.createDataFrame([(1, "é x@y.zz and 1.2.3.4"), (2, None)], "doc_id long, text string")
     assert [r.text for r in pii.redacted(df).orderBy("doc_id").collect()] == ["é <email> and <ip>", None]
-    r = [x for x in pii.op3_pii(spark, SF).collect() if x.n_email][0]
-    text = dict(rows)[r.doc_id]
-    assert r.base_sha256 == pii.sha256(pii.base_spans(text)) and r.spans.startswith("email:")
+    texts = dict(rows)
+    found = pii.op3_pii(spark, SF).collect()
+    assert len(found) == len(texts)
+    for r in found:  # against the plain patterns
+        want = base(texts[r.doc_id] or "")
+        assert r.base_sha256 == pii.sha256(want) and [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for x, _, _ in want) for k in pii.KINDS[:4]]
+        assert set(filter(None, r.spans.split(","))) >= {f"{k}:{a}:{b}" for k, a, b in want}
+
+
+def test_personal_data_in_very_long_runs():
+    """A million places of what a pattern could begin with: no match is retried from each of them."""
+    began = time.time()
+    for t in ("1" * 10**6, "a" * 10**6 + "@", "a" * 10**6 + "@b", "1." * 500_000, "1 " * 500_000, "+1" + "(" * 10**6, "4532015112830366 " * 5000 + "é a@b.cc " * 5000, "a@" * 500_000):
+        got = pii.spans(t)
+        assert bool(got) == ("@b.cc" in t or t.startswith("1.1")), t[:20]
+    assert time.time() - began < 60
 
 
 def test_packing_is_best_fit_decreasing():
@@ -288,6 +326,31 @@ def test_sharding(spark, docs, odd):
     assert placed == 80
 
 
+def test_groups_of_equal_texts_stay_together(spark):
+    """Six hot texts, null doc_ids among them, and many small groups: only what fits in no shard is cut, and sizes stay near equal."""
+    rng = random.Random(8)
+    made = [(d if d % 7 else None, f"hot text {d % 6}") for d in range(12000)] + [(d, f"group {d // 3} " + "x" * (d // 3 % 200)) for d in range(20000, 32000)]
+    made += [(d, "y" * 30) for d in range(40000, 60000)]
+    rng.shuffle(made)
+    got = sharding.shards(spark.createDataFrame(made, "doc_id long, text string"), 10).collect()
+    assert len(got) == len(made)
+    of, bytes_, slots = {}, Counter(), {}
+    for r in got:
+        of.setdefault(r.text_crc32, set()).add(r.shard)
+        bytes_[r.shard] += r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    mean = sum(bytes_.values()) / 10
+    assert len(bytes_) == 10 and max(bytes_.values()) < 1.02 * mean and min(bytes_.values()) > 0.98 * mean
+    assert [c for c, x in of.items() if len(x) > 1] == [zlib.crc32(("y" * 30).encode())]
+
+
+def test_heavy_groups_are_cut_only_if_they_must_be():
+    parts, room = sharding.spread_groups([(1, 60), (2, 60), (3, 250), (4, 30), (5, 10)], 5, 100.0)
+    assert [len(parts[k]) for k in (1, 2, 4, 5)] == [1, 1, 1, 1] and len(parts[3]) == 3 and parts[3][-1][0] == 250
+    assert sum(room) == 500 - 410 and min(room) >= 0
+
+
 def test_search(spark, docs, rows, odd):
     found = search.top_k(docs, docs.filter("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")).collect()
     want = brute.bm25(rows, [(d, t) for d, t in rows if d % 20 == 0])
@@ -361,7 +424,7 @@ def test_language(spark, odd):
     assert np.allclose(whole, language.margins(["ab cd " * 50000, "x"], model)[0][0], atol=1e-4)
 
 
-def test_training_table(spark):
+def test_training_table(spark, monkeypatch):
     """The compact table gives a dense one's products, also across blocks; languages with long texts only are learned."""
     rng = random.Random(9)
     texts = [" ".join("".join(rng.choice(a) for _ in range(5)) for _ in range(rng.randint(1, 60))) for a in ("abcd", "cdef", "wxyz") for _ in range(30)]
@@ -381,6 +444,13 @@ def test_training_table(spark):
     made = [(k, t if k % 2 else f"{t} " * 3000, "it" if k % 2 else "fi") for k, t in enumerate(x for pair in zip(texts[30:60], texts[60:], strict=True) for x in pair)]
     model = language.learned(spark.createDataFrame(made, "doc_id long, text string, lang string"))
     assert model.languages == ["fi", "it"] and language.PER_LANGUAGE == 400
+    assert [language.per_language(n) for n in (0, 4, 100, 400, 10**4)] == [400, 400, 400, 100, 25]
+    codes = [f"x{k:03}" for k in range(220)]  # more languages than there once were places for
+    many = [(k, f"{c} {c} {c}", c) for k, c in enumerate(c for c in codes for _ in range(3))]
+    before, language.PER_LANGUAGE = language.PER_LANGUAGE, 1
+    monkeypatch.setattr(language, "machine", lambda x, y: (np.zeros(d), 0.0))
+    assert language.learned(spark.createDataFrame(many, "doc_id long, text string, lang string"), -1).languages == codes
+    language.PER_LANGUAGE = before
     assert language.predicted([texts[30], texts[60], texts[59] * 900], model)[0] == ["fi", "it", "fi"]
 
 
