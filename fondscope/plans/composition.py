@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from ..operators.temporal import records_without_year, year_histogram
 from ..operators.usage import SUBFIELD, code_counts, dataset_totals, field_usage, subfield_usage, value_counts
 from ..schema import YEARS
 from ..sources.inventory import file_inventory
+from ..workspace import written
 
 NO_FIELDS = "field_code string, field_description string, url string"
 NO_SUBFIELDS = "field_code string, subfield_code string, subfield_description string"
@@ -57,7 +57,7 @@ def temporal_overview(d: DataFrame, lo: int = YEARS[0], hi: int = YEARS[1]) -> d
 
 
 def composition(d: DataFrame, dim: DataFrame, fdesc: DataFrame | None = None, sdesc: DataFrame | None = None, lo: int = YEARS[0], hi: int = YEARS[1], k: int = 7, seed: int | str = 1, path: str | None = None) -> dict[str, DataFrame]:
-    """All tables of a dataset's report, with its files' sizes if their `path` is given. The attribute rows are kept on disk while they are made: `d.unpersist()` frees them."""
-    d = d.persist(StorageLevel.DISK_ONLY)
+    """All tables of a dataset's report, with its files' sizes if their `path` is given. The attribute rows are written once for all of them."""
+    d = written(d, "composition")
     files = {"files": file_inventory(d.sparkSession, path)} if path else {}
     return {**files, "totals": dataset_totals(d), **temporal_overview(d, lo, hi), "languages": language_distribution(d, dim), "fields": field_overview(d, fdesc), "subfields": subfield_overview(d, fdesc, sdesc, k, seed), "codes": code_counts(d)}

@@ -7,14 +7,16 @@ documents derived from the other tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixtures as X
 from . import functions as S
 from .operators import examples, language, numbering, selection, temporal, usage
 from .plans import catalogues, composition
+from .schema import DATASETS
 from .sources import attributes as A
 from .sources import dimensions, harvest, inventory, nested, records
 from .streaming import ingest
@@ -208,19 +210,30 @@ def scalar_functions(spark, sf_dir):
     return o.select("o_orderkey", F.substring("o_orderpriority", 3, 4).alias("part"), S.language_label("o_orderstatus", name).alias("label"), S.group_url(g).alias("g_url"), S.group_text(g).alias("g_text"), S.size_text(size).alias("size"), (F.col("o_custkey") / (F.col("o_orderkey") + 1)).alias("ratio"), S.to_year(F.substring("o_orderpriority", 1, 1)).alias("first"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN b >= 1000000000000 THEN regexp_replace(printf('%.1f', b / 1000000000000), '\\.0$', '') || ' TB' WHEN b >= 1000000000 THEN regexp_replace(printf('%.1f', b / 1000000000), '\\.0$', '') || ' GB' WHEN b >= 1000000 THEN regexp_replace(printf('%.1f', b / 1000000), '\\.0$', '') || ' MB' WHEN b >= 1000 THEN regexp_replace(printf('%.1f', b / 1000), '\\.0$', '') || ' KB' ELSE b::VARCHAR || ' B' END AS size,
+printf('%.2f', (o_custkey % 1000) / 10) || '%' AS share, format('{:,}', o_custkey * 1009) AS shown, '<a id="' || o_orderstatus || o_orderpriority[1:1] || '">' || o_orderpriority[1:1] || '</a>' AS anchor, strftime(o_orderdate, '%Y-%m-%d') AS day
+FROM (SELECT *, CAST(o_custkey % 100 * pow(10, o_orderkey % 13 + 1) AS BIGINT) AS b FROM orders)""")
+def text_functions(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    size = (F.col("o_custkey") % 100 * F.pow(F.lit(10), F.col("o_orderkey") % 13 + 1)).cast("long")
+    stamp = F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    first = F.substring("o_orderpriority", 1, 1)
+    return o.select("o_orderkey", S.size_text(size).alias("size"), S.percent_text(F.col("o_custkey") % 1000 / 1000).alias("share"), S.count_text(F.col("o_custkey") * 1009).alias("shown"), S.subfield_anchor("o_orderstatus", first).alias("anchor"), S.http_date(stamp).alias("day"))
+
+
 # Sources
 
-ORDERS = "o AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderstatus = '{}')"
+ORDERS = "o AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders)"
 ITEMS = "items AS (SELECT rn, row_number() OVER (PARTITION BY rn ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus) AS k, l_partkey, l_returnflag, l_linestatus FROM o JOIN lineitem ON l_orderkey = o_orderkey)"
 F008 = "concat('850101s', CAST(year(o_orderdate) AS VARCHAR), rpad('', 24, ' '), 'eng ')"
 HEADS = f"SELECT rn AS record_number, 1 AS field_number, 1 AS subfield_number, 'LDR' AS field_code, '' AS subfield_code, '00000nam a2200000 i 4500' AS value FROM o UNION ALL SELECT rn, 2, 1, '001', '', lpad(CAST(o_orderkey AS VARCHAR), 12, '0') FROM o UNION ALL SELECT rn, 3, 1, '008', '', {F008} FROM o"
-MARC = f"WITH {ORDERS.format('O')}, {ITEMS} SELECT * FROM ({HEADS} UNION ALL SELECT rn, CAST(3 + k AS INTEGER), 1, '700', 'a', CAST(l_partkey AS VARCHAR) FROM items UNION ALL SELECT rn, CAST(3 + k AS INTEGER), 2, '700', 'e', l_returnflag || ' & <' || l_linestatus || '>' FROM items)"
-PICA = f"WITH {ORDERS.format('P')}, {ITEMS} SELECT rn AS record_number, 1 AS field_number, 1 AS subfield_number, '003@' AS field_code, '0' AS subfield_code, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS value FROM o UNION ALL SELECT rn, 2, 1, '011@', 'a', CAST(year(o_orderdate) AS VARCHAR) FROM o UNION ALL SELECT rn, CAST(2 + k AS INTEGER), 1, '028C/01', 'a', ' ' || CAST(l_partkey AS VARCHAR) || ' ' FROM items"
+MARC = f"WITH {ORDERS}, {ITEMS} SELECT * FROM ({HEADS} UNION ALL SELECT rn, CAST(3 + k AS INTEGER), 1, '700', 'a', CAST(l_partkey AS VARCHAR) FROM items UNION ALL SELECT rn, CAST(3 + k AS INTEGER), 2, '700', 'e', l_returnflag || ' & <' || l_linestatus || '>' FROM items)"
+PICA = f"WITH {ORDERS}, {ITEMS} SELECT rn AS record_number, 1 AS field_number, 1 AS subfield_number, '003@' AS field_code, '0' AS subfield_code, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS value FROM o UNION ALL SELECT rn, 2, 1, '011@', 'a', CAST(year(o_orderdate) AS VARCHAR) FROM o UNION ALL SELECT rn, CAST(2 + k AS INTEGER), 1, '028C/01', 'a', ' ' || CAST(l_partkey AS VARCHAR) || ' ' FROM items"
 
 
-def _catalogue(spark, sf_dir, status: str) -> DataFrame:
-    """Records to be written as library formats: key, f008, year, and items (part, note) in order."""
-    o = X.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status)
+def _catalogue(spark, sf_dir) -> DataFrame:
+    """Records to be written as library formats, one for each order: key, f008, year, and items (part, note) in order."""
+    o = X.table(spark, sf_dir, "orders")
     items = X.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"))).alias("items"))
     year = F.year("o_orderdate").cast("string")
     f008 = F.concat(F.lit("850101s"), year, F.lit(" " * 24 + "eng "))
@@ -231,11 +244,11 @@ BY_NUMBER = ("record_id",)
 LEADER = "00000nam a2200000 i 4500"
 
 
-def _marcxml(with_items: bool = True):
+def _marcxml():
     control = [F.lit(f'<m:record><m:leader>{LEADER}</m:leader><m:controlfield tag="001">'), F.col("key"), F.lit('</m:controlfield><m:controlfield tag="008">'), F.col("f008"), F.lit("</m:controlfield>")]
     note = lambda i: S.xml_safe(F.concat(i["l_returnflag"], F.lit(" & <"), i["l_linestatus"], F.lit(">")))
     data = F.array_join(F.transform("items", lambda i: F.concat(F.lit('<m:datafield tag="700" ind1=" " ind2="1"><m:subfield code="a">'), i["l_partkey"].cast("string"), F.lit('</m:subfield><m:subfield code="e">'), note(i), F.lit("</m:subfield></m:datafield>"))), "")
-    return F.concat(*control, *([data] if with_items else []), F.lit("</m:record>"))
+    return F.concat(*control, data, F.lit("</m:record>"))
 
 
 def _landed_xml(df: DataFrame, name: str) -> str:
@@ -255,48 +268,89 @@ def _landed(df: DataFrame, name: str, **options) -> str:
     return path
 
 
-@query(MARC)
-def marcxml_flatten(spark, sf_dir):
-    path = _landed_xml(_catalogue(spark, sf_dir, "O").select(_marcxml().alias("x")), "marcxml")
-    return records.flatten_records(records.read_marcxml(spark, path), BY_NUMBER)
+def _landed_marcxml(spark, sf_dir) -> str:
+    return _landed_xml(_catalogue(spark, sf_dir).select(_marcxml().alias("x")), "marcxml")
 
 
-@query(MARC)
-def iso2709_flatten(spark, sf_dir):
+def _landed_iso2709(spark, sf_dir) -> str:
     note = lambda i: F.concat(i["l_returnflag"], F.lit(" & <"), i["l_linestatus"], F.lit(">"))
     entry = lambda tag: f"{tag}000000000"
     data = F.transform("items", lambda i: F.concat(F.lit(" 1\x1fa"), i["l_partkey"].cast("string"), F.lit("\x1fe"), note(i), F.lit("\x1e")))
     head = F.concat(F.lit(LEADER + entry("001") + entry("008")), F.array_join(F.transform("items", lambda _: F.lit(entry("700"))), ""), F.lit("\x1e"))
     record = F.concat(head, F.col("key"), F.lit("\x1e"), F.col("f008"), F.lit("\x1e"), F.array_join(data, ""))
-    path = _landed(_catalogue(spark, sf_dir, "O").select(record), "iso2709", lineSep="\x1d")
-    return records.flatten_records(records.read_iso2709(spark, path), BY_NUMBER)
+    return _landed(_catalogue(spark, sf_dir).select(record), "iso2709", lineSep="\x1d")
 
 
-@query(PICA)
-def picaxml_flatten(spark, sf_dir):
+def _landed_picaxml(spark, sf_dir, in_pages: bool) -> str:
     field = lambda tag, code, value: F.concat(F.lit(f'<datafield tag="{tag}"><subfield code="{code}">'), value, F.lit("</subfield></datafield>"))
     items = F.array_join(F.transform("items", lambda i: F.concat(F.lit('<datafield tag="028C" occurrence="01"><subfield code="a"> '), i["l_partkey"].cast("string"), F.lit(" </subfield></datafield>"))), "")
-    record = F.concat(F.lit("<zs:record><zs:recordData><record>"), field("003@", "0", F.col("key")), field("011@", "a", F.col("year")), items, F.lit("</record></zs:recordData></zs:record>"))
-    path = _landed_xml(_catalogue(spark, sf_dir, "P").select(record.alias("x")), "picaxml")
-    return records.flatten_records(records.read_picaxml(spark, path, in_pages=True), BY_NUMBER)
+    around = ("<zs:record><zs:recordData>", "</zs:recordData></zs:record>") if in_pages else ("", "")
+    record = F.concat(F.lit(f"{around[0]}<record>"), field("003@", "0", F.col("key")), field("011@", "a", F.col("year")), items, F.lit(f"</record>{around[1]}"))
+    return _landed_xml(_catalogue(spark, sf_dir).select(record.alias("x")), "picaxml")
+
 
+def _landed_prefixed(spark, sf_dir) -> str:
+    return _landed(_catalogue(spark, sf_dir).select(F.concat("key", F.lit("\t"), _marcxml())), "prefixed")
 
-@query(f"WITH {ORDERS.format('O')} {HEADS}")
+
+@query(MARC)
+def marcxml_flatten(spark, sf_dir):
+    return records.flatten_records(records.read_marcxml(spark, _landed_marcxml(spark, sf_dir)), BY_NUMBER)
+
+
+@query(MARC)
+def iso2709_flatten(spark, sf_dir):
+    return records.flatten_records(records.read_iso2709(spark, _landed_iso2709(spark, sf_dir)), BY_NUMBER)
+
+
+@query(PICA)
+def picaxml_flatten(spark, sf_dir):
+    return records.flatten_records(records.read_picaxml(spark, _landed_picaxml(spark, sf_dir, True), in_pages=True), BY_NUMBER)
+
+
+@query(MARC)
 def strip_prefix(spark, sf_dir):
-    lines = _catalogue(spark, sf_dir, "O").select(F.concat("key", F.lit("\t"), _marcxml(with_items=False)))
-    return records.flatten_records(records.read_prefixed(spark.read.text(_landed(lines, "prefixed"))), BY_NUMBER)
+    return records.flatten_records(records.read_prefixed(spark.read.text(_landed_prefixed(spark, sf_dir))), BY_NUMBER)
 
 
-@query("""WITH t AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations WHERE conv_id IS NOT NULL AND role IS NOT NULL AND text IS NOT NULL),
+@query("SELECT count(*) AS records, count(*) FILTER (o_orderkey % 9 = 0) AS broken FROM orders")
+def broken_records(spark, sf_dir):
+    """Every ninth record has an entity that nobody defined."""
+    text = F.when(F.col("key").cast("long") % 9 == 0, F.replace(_marcxml(), F.lit("<m:leader>"), F.lit("<m:leader>&nothing;"))).otherwise(_marcxml())
+    return records.broken_records(spark, _landed_xml(_catalogue(spark, sf_dir).select(text.alias("x")), "broken"))
+
+
+DOCUMENTS = """WITH t AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations WHERE conv_id IS NOT NULL AND role IS NOT NULL AND text IS NOT NULL),
 c AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS record_number FROM (SELECT DISTINCT conv_id FROM t))
 SELECT record_number, 1 AS field_number, 1 AS subfield_number, 'id' AS field_code, '' AS subfield_code, CAST(conv_id AS VARCHAR) AS value FROM c
 UNION ALL SELECT record_number, CAST(1 + k AS INTEGER), 1, 'turns', 'turn', CAST(turn AS VARCHAR) FROM t JOIN c USING (conv_id) UNION ALL SELECT record_number, CAST(1 + k AS INTEGER), 2, 'turns', 'role', role FROM t JOIN c USING (conv_id) UNION ALL SELECT record_number, CAST(1 + k AS INTEGER), 3, 'turns', 'text', text FROM t JOIN c USING (conv_id)
-UNION ALL SELECT record_number, CAST(2 + count(*) AS INTEGER), 1, 'last', '', '[' || CAST(count(*) AS VARCHAR) || ']' FROM t JOIN c USING (conv_id) GROUP BY record_number""")
-def flatten_documents(spark, sf_dir):
+UNION ALL SELECT record_number, CAST(2 + count(*) AS INTEGER), 1, 'last', '', '[' || CAST(count(*) AS VARCHAR) || ']' FROM t JOIN c USING (conv_id) GROUP BY record_number"""
+
+
+def _documents(spark, sf_dir) -> DataFrame:
     t = X.table(spark, sf_dir, "conversations").filter("conv_id is not null and role is not null and text is not null")
     turns = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    docs = turns.select("conv_id", F.to_json(F.struct("turns", F.concat(F.lit("["), F.size("turns").cast("string"), F.lit("]")).alias("last"))).alias("json"))
-    return nested.flatten_documents(docs, "conv_id", "json")
+    return turns.select("conv_id", F.to_json(F.struct("turns", F.concat(F.lit("["), F.size("turns").cast("string"), F.lit("]")).alias("last"))).alias("json"))
+
+
+@query(DOCUMENTS)
+def flatten_documents(spark, sf_dir):
+    return nested.flatten_documents(_documents(spark, sf_dir), "conv_id", "json")
+
+
+def _landed_documents(spark, sf_dir) -> str:
+    line = F.concat(F.lit('{"_id": "'), F.col("conv_id").cast("string"), F.lit('", "data": '), F.col("json"), F.lit("}"))
+    return _landed(_documents(spark, sf_dir).select(line), "documents")
+
+
+@query("SELECT dataset, field_code, count(DISTINCT record_number) AS records, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS dataset, record_number, field_code FROM ({sql})" for k, sql in (("cnb", MARC), ("plnb", MARC), ("viaf", MARC), ("hpb", PICA), ("vd17", PICA), ("istc", DOCUMENTS))) + ") GROUP BY dataset, field_code")
+def ingested_datasets(spark, sf_dir):
+    """A landed dataset of each format, ingested as the registry says and analysed with the others in one job."""
+    to, of = new_path(spark, "ingested"), {d.dataset: d for d in DATASETS}
+    for name, path, files in (("cnb", _landed_marcxml(spark, sf_dir), "part=*/*"), ("plnb", _landed_iso2709(spark, sf_dir), "part-*"), ("viaf", _landed_prefixed(spark, sf_dir), "part-*"), ("hpb", _landed_picaxml(spark, sf_dir, False), "part=*/*"), ("vd17", _landed_picaxml(spark, sf_dir, True), "part=*/*"), ("istc", _landed_documents(spark, sf_dir), "part-*")):
+        catalogues.ingest(spark, of[name]._replace(inputs=files), path, to)
+    d = catalogues.read_datasets(spark, to, ("cnb", "plnb", "viaf", "hpb", "vd17", "istc"))
+    return usage.field_usage(d, by=["dataset"]).select("dataset", "field_code", "records", "n")
 
 
 @query("SELECT 'P' || CAST(p_partkey AS VARCHAR) AS field_code, p_name AS field_description, CASE WHEN p_size % 3 <> 0 THEN 'https://example.org/' || CAST(p_partkey AS VARCHAR) END AS url FROM part")
@@ -335,15 +389,21 @@ def oai_window(spark, sf_dir):
     return _headers(harvest.oai_records(harvest.oai_window(_oai(spark, sf_dir), "1996-01-01", "1996-12-31", "1"), full_record=True))
 
 
-@query("""WITH t AS (SELECT o_orderpriority AS harvest, count(*) AS total FROM orders GROUP BY 1), p AS (SELECT DISTINCT o_orderpriority AS harvest, 1 + 50 * (o_orderkey % 100) AS start FROM orders WHERE o_orderkey % 100 < 40),
-w AS (SELECT harvest, unnest(generate_series(1, total, 50)) AS start FROM t), m AS (SELECT harvest, count(*) AS lost, min(w.start) AS first_missing FROM w ANTI JOIN p USING (harvest, start) GROUP BY harvest)
+@query("""WITH n AS (SELECT o_orderpriority AS harvest, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS k FROM orders), t AS (SELECT harvest, count(*) AS total FROM n GROUP BY 1),
+p AS (SELECT DISTINCT harvest, k AS start FROM n WHERE k % 50 = 1 AND (k // 50) % 7 <> 3), w AS (SELECT harvest, unnest(generate_series(1, total, 50)) AS start FROM t), m AS (SELECT harvest, count(*) AS lost, min(w.start) AS first_missing FROM w ANTI JOIN p USING (harvest, start) GROUP BY harvest)
 SELECT harvest, total, CAST(ceil(total / 50) AS BIGINT) AS pages_expected, (SELECT count(*) FROM p WHERE p.harvest = t.harvest) AS pages_found, coalesce(lost, 0) AS pages_missing, first_missing FROM t LEFT JOIN m USING (harvest)""")
 def harvest_audit(spark, sf_dir):
-    o = X.table(spark, sf_dir, "orders")
-    totals = o.groupBy(F.col("o_orderpriority").alias("harvest")).agg(F.count("*").alias("total"))
-    pages = o.filter("o_orderkey % 100 < 40").select(F.col("o_orderpriority").alias("harvest"), (1 + 50 * (F.col("o_orderkey") % 100)).alias("start")).distinct()
-    pages = pages.join(totals, "harvest").withColumn("content", F.concat(F.lit("<a><zs:numberOfRecords>"), F.col("total").cast("string"), F.lit("</zs:numberOfRecords></a>")))
-    return harvest.harvest_audit(pages, 50)
+    """Pages of 50 orders of each priority, landed as files of their own, every seventh one lost."""
+    o = X.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("harvest"), "o_orderkey")
+    order = Window.partitionBy("harvest").orderBy("o_orderkey")
+    page = o.withColumn("k", F.row_number().over(order)).groupBy("harvest", (F.floor((F.col("k") - 1) / 50) * 50 + 1).alias("start"))
+    pages = page.agg(F.count("*").alias("records")).filter((F.floor(F.col("start") / 50) % 7) != 3)
+    pages = pages.join(o.groupBy("harvest").agg(F.count("*").alias("total")), "harvest")
+    path = new_path(spark, "pages")
+    pages.select("harvest", "start", F.concat(F.lit("<a><zs:numberOfRecords>"), F.col("total").cast("string"), F.lit("</zs:numberOfRecords></a>"))).write.partitionBy("harvest", "start").text(path)
+    landed = harvest.read_pages(spark, f"{path}/*/*/*").withColumn("file", F.url_decode(F.regexp_replace("file", r"\+", "%2B")))
+    landed = landed.select(F.url_decode(F.regexp_extract("file", "harvest=([^/]*)", 1)).alias("harvest"), F.regexp_extract("file", "start=([0-9]+)", 1).alias("start"), "content")
+    return harvest.harvest_audit(landed, 50)
 
 
 @query(r"SELECT * FROM (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '^\s+|\s+$', '', 'g') AS title FROM pages) WHERE title <> ''")
@@ -370,11 +430,30 @@ def file_inventory(spark, sf_dir):
     return inventory.file_inventory(spark, f"{path}/*.parquet")
 
 
-@query()
+SHOWN = " || '|' || ".join(f"CAST(length(coalesce(CAST({c} AS VARCHAR), '\\N')) AS VARCHAR) || ':' || coalesce(CAST({c} AS VARCHAR), '\\N')" for c in ALL.split(", "))
+
+
+@query(f"{X.WITH} SELECT count(*) AS rows, bit_xor(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS xor, CAST(sum(CAST('0x' || substr(h, 17, 6) AS BIGINT)) AS BIGINT) AS sum FROM (SELECT md5({SHOWN}) AS h FROM att)")
 def fingerprint(spark, sf_dir):
     return inventory.fingerprint(X.attributes(spark, sf_dir))
 
 
+@query(f"""{X.WITH}, {YEARS}, {LANGS}, {PER_FIELD}, {FIELD_USAGE}, {PER_SUBFIELD}, {SUBFIELD_USAGE}
+SELECT 'totals' AS part, 'records' AS key, count(DISTINCT record_number) AS n FROM att UNION ALL SELECT 'totals', 'rows', count(*) FROM att
+UNION ALL SELECT 'years', CAST(year AS VARCHAR), count(*) FROM years WHERE year BETWEEN 1000 AND 2050 GROUP BY year
+UNION ALL SELECT 'without_year', '', count(*) FROM (SELECT DISTINCT record_number FROM att) WHERE record_number NOT IN (SELECT record_number FROM years)
+UNION ALL SELECT 'languages', language, count(*) FROM (SELECT DISTINCT record_number FROM att) LEFT JOIN langs USING (record_number) GROUP BY language
+UNION ALL SELECT 'fields', field_code, records FROM usage UNION ALL SELECT 'subfields', field_code || '$' || subfield_code, records FROM susage
+UNION ALL SELECT 'codes', 'fields', count(DISTINCT field_code) FROM att UNION ALL SELECT 'codes', 'subfields', count(*) FROM susage""")
+def composition_report(spark, sf_dir):
+    """All tables of a report, one below another."""
+    made = composition.composition(X.attributes(spark, sf_dir), X.languages(spark), X.fields(spark), X.subfields(spark))
+    row = lambda name, key, n: made[name].select(F.lit(name).alias("part"), key.alias("key"), F.col(n).alias("n"))
+    parts = [row("totals", F.lit("records"), "n_records"), row("totals", F.lit("rows"), "n_rows"), row("years", F.col("year").cast("string"), "n"), row("without_year", F.lit(""), "n"), row("languages", F.col("language"), "n")]
+    parts += [row("fields", F.col("field_code"), "records"), row("subfields", F.concat("field_code", F.lit("$"), "subfield_code"), "records"), row("codes", F.lit("fields"), "n_fields"), row("codes", F.lit("subfields"), "n_subfields")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(f"SELECT max({STAMP}) AS date FROM orders")
 def dataset_date(spark, sf_dir):
     dates = X.table(spark, sf_dir, "orders").select(F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("\n")).alias("value"))

@@ -47,8 +47,8 @@ DATASETS = (
     Dataset("istc", "Incunabula Short Title Catalogue", "documents", "*.jsonl", "k10_pica"),
     Dataset("plnb", "Polish National Bibliography", "iso2709", "*.marc"),
     Dataset("ptnb", "Portuguese National Bibliography", "marcxml", "*.xml", None),
-    Dataset("vd17", "VD17", "picaxml", "*.xml.gz", "k10_pica", 1601, 1700),
-    Dataset("vd18", "VD18", "picaxml", "*.xml.gz", "k10_pica", 1701, 1800),
+    Dataset("vd17", "VD17", "picapages", "*.xml.gz", "k10_pica", 1601, 1700),
+    Dataset("vd18", "VD18", "picapages", "*.xml.gz", "k10_pica", 1701, 1800),
     Dataset("viaf", "Virtual International Authority File", "prefixed", "*.xml.gz", "marc", *YEARS, "2024-08-04"),
 )
 # End of the fixed values.

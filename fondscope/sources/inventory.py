@@ -16,9 +16,20 @@ def file_inventory(spark: SparkSession, path: str, kind: str = "parquet") -> Dat
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """(rows, xor, sum): a version of the table's content that doesn't depend on the order of rows or on files."""
-    h = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
-    return df.select(h.alias("h")).agg(F.count("*").alias("rows"), F.bit_xor("h").alias("xor"), F.sum(F.col("h").cast("decimal(38,0)")).alias("sum"))
+    """(rows, xor, sum): a version of the table's content that doesn't depend on the order of rows or on files, from MD5 digests of
+    the rows: 60 bits of them xored, 24 bits summed (equal rows cancel in the one but not in the other)."""
+    shown = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns]
+    h = F.md5(F.concat_ws("|", *(F.concat(F.length(x).cast("string"), F.lit(":"), x) for x in shown)))
+    whole, part = (F.conv(F.substring(h, at, n), 16, 10).cast("long") for at, n in ((1, 15), (17, 6)))
+    return df.select(whole.alias("h"), part.alias("p")).agg(F.count("*").alias("rows"), F.bit_xor("h").alias("xor"), F.sum("p").alias("sum"))
+
+
+def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
+    """(files, sha1): the version of a dataset's files: the SHA-1 digest of their digests in order of their names. Each file is
+    digested where it is read (of 2 GB at most, as Spark reads whole files)."""
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha1("content").alias("sha1"))
+    every = F.transform(F.sort_array(F.collect_list(F.struct("name", "sha1"))), lambda f: f["sha1"])
+    return files.agg(F.count("*").alias("files"), F.sha1(F.array_join(every, "").cast("binary")).alias("sha1"))
 
 
 def changed_sources(current: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -28,15 +39,16 @@ def changed_sources(current: DataFrame, manifest: DataFrame) -> DataFrame:
     return a.join(b, "url", "full").select("url", state.alias("state")).filter("state is not null")
 
 
-def dataset_date(dates: DataFrame | None, files: DataFrame | None = None, fixed: str | None = None) -> DataFrame:
-    """(date): the greatest stripped text of `dates` (value); else the newest `modified` of `files` in UTC; else the fixed one; else ''."""
+def dataset_date(dates: DataFrame | None, files: DataFrame | None = None, fixed: str | None = None, first: bool = False) -> DataFrame:
+    """(date): the greatest stripped text of `dates` (value); else the newest `modified` of `files` in UTC (`first`: that of the
+    file whose name comes first); else the fixed one; else ''."""
     from ..functions import stripped
 
     out = None
     if dates is not None:
         out = dates.agg(F.max(stripped("value")).alias("a"))
     if files is not None:
-        newest = files.agg(F.date_format(F.max("modified"), "yyyy-MM-dd").alias("b"))
+        newest = files.agg(F.date_format(F.min_by("modified", "file") if first else F.max("modified"), "yyyy-MM-dd").alias("b"))
         out = newest if out is None else out.crossJoin(F.broadcast(newest))  # one row each
     if out is None:
         raise ValueError("neither dates nor files")

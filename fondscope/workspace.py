@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder named by spark.checkpoint.dir; a temporary one where that is unset and all run on one machine, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
         found = tempfile.mkdtemp(prefix="fondscope-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -22,7 +25,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once and read it back, so that later plans start from files and survive lost executors."""
-    path = new_path(df.sparkSession, name)
+    """Write `df` once and read it back, so that later plans start from files and survive lost executors. The files go when the
+    driver ends."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
