@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .schema import ATTRIBUTE_SCHEMA
+from .workspace import new_path, once
+
 BRANCHES = """
 SELECT o_orderkey + 1 AS record_number, 1 AS field_number, 1 AS subfield_number, CASE WHEN o_orderstatus = 'P' THEN '003@' ELSE '001' END AS field_code, CASE WHEN o_orderstatus = 'P' THEN '0' ELSE '' END AS subfield_code, CAST(o_orderkey AS STRING) AS value FROM {orders}
 UNION ALL SELECT o_orderkey + 1, 2, 1, '008', '', concat('850101s', CASE WHEN o_orderkey % 10 = 0 THEN '19uu' ELSE CAST(year(o_orderdate) AS STRING) END, rpad('', 24, ' '), CASE o_custkey % 5 WHEN 0 THEN 'eng' WHEN 1 THEN 'ger' WHEN 2 THEN 'fre' WHEN 3 THEN 'fin' ELSE 'zzz' END) FROM {orders} WHERE o_orderstatus = 'O'
@@ -27,8 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@once
+def attributes_path(spark: SparkSession, sf_dir: str) -> str:
+    path = new_path(spark, "attributes")
+    spark.sql(TYPED, orders=table(spark, sf_dir, "orders"), lineitem=table(spark, sf_dir, "lineitem")).write.parquet(path)
+    return path
+
+
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(TYPED, orders=table(spark, sf_dir, "orders"), lineitem=table(spark, sf_dir, "lineitem"))
+    """The attribute table, derived once and read from Parquet, as such tables are."""
+    return spark.read.schema(ATTRIBUTE_SCHEMA).parquet(attributes_path(spark, sf_dir))
 
 
 def attributes_by_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from .schema import DATASETS
 from .sources import attributes as A
 from .sources import dimensions, harvest, inventory, nested, records
 from .streaming import ingest
-from .workspace import new_path
+from .workspace import new_path, once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -268,10 +268,12 @@ def _landed(df: DataFrame, name: str, **options) -> str:
     return path
 
 
+@once
 def _landed_marcxml(spark, sf_dir) -> str:
     return _landed_xml(_catalogue(spark, sf_dir).select(_marcxml().alias("x")), "marcxml")
 
 
+@once
 def _landed_iso2709(spark, sf_dir) -> str:
     note = lambda i: F.concat(i["l_returnflag"], F.lit(" & <"), i["l_linestatus"], F.lit(">"))
     entry = lambda tag: f"{tag}000000000"
@@ -281,6 +283,7 @@ def _landed_iso2709(spark, sf_dir) -> str:
     return _landed(_catalogue(spark, sf_dir).select(record), "iso2709", lineSep="\x1d")
 
 
+@once
 def _landed_picaxml(spark, sf_dir, in_pages: bool) -> str:
     field = lambda tag, code, value: F.concat(F.lit(f'<datafield tag="{tag}"><subfield code="{code}">'), value, F.lit("</subfield></datafield>"))
     items = F.array_join(F.transform("items", lambda i: F.concat(F.lit('<datafield tag="028C" occurrence="01"><subfield code="a"> '), i["l_partkey"].cast("string"), F.lit(" </subfield></datafield>"))), "")
@@ -289,6 +292,7 @@ def _landed_picaxml(spark, sf_dir, in_pages: bool) -> str:
     return _landed_xml(_catalogue(spark, sf_dir).select(record.alias("x")), "picaxml")
 
 
+@once
 def _landed_prefixed(spark, sf_dir) -> str:
     return _landed(_catalogue(spark, sf_dir).select(F.concat("key", F.lit("\t"), _marcxml())), "prefixed")
 
@@ -338,6 +342,7 @@ def flatten_documents(spark, sf_dir):
     return nested.flatten_documents(_documents(spark, sf_dir), "conv_id", "json")
 
 
+@once
 def _landed_documents(spark, sf_dir) -> str:
     line = F.concat(F.lit('{"_id": "'), F.col("conv_id").cast("string"), F.lit('", "data": '), F.col("json"), F.lit("}"))
     return _landed(_documents(spark, sf_dir).select(line), "documents")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def once(f: Callable) -> Callable:
+    """`f` (spark, sf_dir, ...), which writes something and returns its path, called once in an application for the same arguments."""
+    paths: dict[tuple, str] = {}
+
+    @functools.wraps(f)
+    def found(spark: SparkSession, sf_dir: str, *args) -> str:
+        key = (spark.sparkContext.applicationId, sf_dir, *args)
+        if key not in paths:
+            paths[key] = f(spark, sf_dir, *args)
+        return paths[key]
+
+    return found
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fondscope-{name}-{uuid.uuid4().hex}"
 
