@@ -376,6 +376,8 @@ def test_pruned_search_is_exact(monkeypatch):
             t = np.unique(np.r_[rng.integers(0, 12, rng.integers(0, 12)) + 500 * (d % 3 == 0), rng.integers(20, 400, rng.integers(0, 6))])
             terms_.append(t)
             tfs.append(rng.integers(1, 4, len(t)).astype(np.int32))
+        for d in range(n // 3):  # many equal ones
+            terms_[d], tfs[d] = terms_[0], tfs[0]
         ids, lengths = rng.permutation(n * 3)[:n], np.array([x.sum() for x in tfs], float)
         asked = [np.unique(np.r_[rng.integers(0, 12, 6) + 500 * (k % 2), rng.integers(20, 400, 5)]) for k in range(7)] + [np.array([999])]
         weights = [rng.integers(1, 4, len(t)) if turn % 2 else np.ones(len(t), int) for t in asked]
