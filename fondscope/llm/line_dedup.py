@@ -94,7 +94,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     lines = written(docs.mapInArrow(_scan, _SCHEMA), "lines")
     when = F.struct("doc_id", "version", "line")
     classes = written(lines.groupBy("key", "n").agg(F.min(when).alias("first"), F.count("*").alias("times")), "classes")
-    chosen = written(classes.join(J.promising(docs, of_lines), "key").filter(J.can_link()).select(F.col("key").alias("id"), "n", "first"), "chosen")
+    chosen = written(classes.join(J.promising(docs, of_lines, J.entries(lines)), "key").filter(J.can_link()).select(F.col("key").alias("id"), "n", "first"), "chosen")
     asked = chosen.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.version").alias("version")).agg(F.collect_set("id").alias("keys"))
     asked = written(asked, "asked")
     keys = asked.agg(F.sum(F.size("keys") + 4)).first()[0] or 0

@@ -73,7 +73,7 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = written(docs.mapInArrow(_scan, "doc_id long, n_shingles long, key long"), "sets")
     classes = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key", "n_shingles").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"))
-    hopeful = J.promising(docs.filter("doc_id IS NOT NULL"), J.of_texts)
+    hopeful = J.promising(docs.filter("doc_id IS NOT NULL"), J.of_texts, J.entries(rows, "n_shingles"))
     chosen = written(classes.join(hopeful, "key").filter(J.can_link("n_shingles")).select(F.col("id").alias("doc_id")), "chosen")
     sets = written(J.semi(docs, chosen, "doc_id").mapInArrow(_sets, "id long, n int, hashes array<long>").filter("n > 0"), "members")
     lists = written(J.prefixes(sets), "lists")

@@ -20,6 +20,8 @@ from .common import bounded_broadcast, partitions, written
 PERCENT = 75
 #: Entries that a task gathers before it sends them; memory is about 100 bytes for each.
 FLUSH = 1 << 19
+#: Entries that one part of the counted exchange takes on average (about 60 bytes each in its task).
+PART = 1 << 22
 _U = np.uint64
 
 
@@ -90,12 +92,19 @@ def _sent(tag: np.ndarray, h: np.ndarray, parts: int, turn: int) -> Iterator[tup
 _SENT = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("tags", pa.binary()), ("times", pa.binary()), ("hashes", pa.binary())])
 
 
-def promising(df: DataFrame, sets: Sets) -> DataFrame:
+def entries(sizes: DataFrame, n: str = "n") -> int:
+    """How many hashes `promising` sends at most for sets of these sizes, counted where the sizes already lie."""
+    n = F.col(n).cast("long")
+    return sizes.agg(F.sum(F.least(n, n - F.floor((PERCENT * n + 99) / 100) + F.floor(n / 8) + 2))).first()[0] or 0
+
+
+def promising(df: DataFrame, sets: Sets, total_entries: int) -> DataFrame:
     """(key, shared): for the sets of `df` that share some of their lowest hashes with another set, how many of those.
 
-    Only sets with shared >= needed(n) can have a partner. Entries travel packed: 4 bytes a hash beside each set's key.
+    Only sets with shared >= needed(n) can have a partner. Entries travel packed: 4 bytes a hash beside each set's key. A task
+    of the exchange holds the entries of its part, so the number of parts follows `total_entries`, whatever the session's setting.
     """
-    parts = partitions(df.sparkSession)
+    parts = max(partitions(df.sparkSession), -(-total_entries // PART))
 
     def send(batches):
         kept, size, turn = [], 0, 0
@@ -210,4 +219,4 @@ def semi(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     return df.join(bounded_broadcast(ids.select(on).distinct(), 16), on, "left_semi")
 
 
-__all__ = ["PERCENT", "can_link", "filter_length", "least_common", "linked", "may_reach", "needed", "of_texts", "prefixes", "promising", "semi", "set_key", "written"]
+__all__ = ["PERCENT", "can_link", "entries", "filter_length", "least_common", "linked", "may_reach", "needed", "of_texts", "prefixes", "promising", "semi", "set_key", "written"]

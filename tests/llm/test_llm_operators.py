@@ -116,6 +116,12 @@ def test_hot_group_of_near_copies(spark):
     assert got == brute.components(rows_)
 
 
+def test_parts_follow_the_entries(docs, rows, monkeypatch):
+    monkeypatch.setattr(ngram_join.J, "PART", 500)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_sets(docs).collect()}
+    assert got == brute.components(rows)
+
+
 def test_line_dedup(docs, rows, odd, spark):
     want = brute.removed_lines(rows)
     got = {r.doc_id: r for r in line_dedup.without_repeats(docs).collect()}
