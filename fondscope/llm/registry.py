@@ -6,6 +6,7 @@ from .decontamination import op1_decontamination
 from .language import op8_language_id
 from .line_dedup import op9_line_dedup
 from .ngram_join import op5_ngram_jaccard_join
+from .oracle import SQL
 from .packed_output import op2_packed_output
 from .packing import op10_best_fit_packing
 from .pii import op3_pii
@@ -14,4 +15,5 @@ from .search import op7_exact_topk_search
 from .sharding import op6_sharding
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_packed_output, op3_pii, op4_quality_classifier, op5_ngram_jaccard_join, op6_sharding, op7_exact_topk_search, op8_language_id, op9_line_dedup, op10_best_fit_packing)}
-SQL: dict[str, str] = {}
+
+__all__ = ["QUERIES", "SQL"]

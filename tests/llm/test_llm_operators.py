@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fondscope.llm import components as CC
-from fondscope.llm import decontamination, language, line_dedup, ngram_join, packed_output, packing, pii, quality, search, sharding, tokens, words
+from fondscope.llm import decontamination, language, line_dedup, ngram_join, packed_output, packing, pii, quality, registry, search, sharding, tokens, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -493,3 +493,16 @@ def test_quality(spark, odd):
     assert len(out) == odd.count() and all(0 <= s <= 1 for s in out)
     none = quality.learned(empty(spark), labels)
     assert {round(r.score, 3) for r in quality.scored(odd, none).collect()} == {0.5} and quality.scored(empty(spark), none).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(registry.SQL))
+def test_same_as_sql(spark, name):
+    import duckdb
+
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS FROM '{SF}/documents.parquet'")
+    want = duck.sql(registry.SQL[name])
+    got = registry.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(want.columns)
+    rows = lambda frame: sorted(map(repr, frame[sorted(got.columns)].astype(object).values.tolist()))
+    assert rows(got.toPandas()) == rows(want.df())
