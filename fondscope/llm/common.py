@@ -1,39 +1,18 @@
-"""What the operators share: the shared folder, safe intermediate tables and column clashes."""
+"""What the operators share: intermediate tables, joins that hot keys don't stop, batches of bounded size."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import written
+
 #: A side of a join is broadcast only when it has been counted and is not above this many bytes.
 BROADCAST_BYTES = 32 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a temporary one where that is unset and all run on one machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
-        found = tempfile.mkdtemp(prefix="fondscope-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back: later plans start from files that survive lost executors.
-
-    The files go when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/fondscope-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+#: Rows of one key that a task may always gather.
+SPLIT = 1000
 
 
 def partitions(spark: SparkSession) -> int:
@@ -54,9 +33,31 @@ def bounded_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def salted_join(rows: DataFrame, one: DataFrame, on: Sequence[str], by: Sequence[str], times: DataFrame, total: int, how: str = "inner") -> DataFrame:
+    """`rows` joined with `one`, which has one row for each key `on`; no task gathers the rows of a hot key.
+
+    times (*on, times) tells how many rows have a key, and adds up to `total` at most. A key of more than a quarter of a
+    partition's share, and of more than SPLIT rows, is cut into as many parts as it has such quarters, by a hash of `by`, and its row
+    of `one` repeated for each. There are at most four such keys for each partition: these are collected, and broadcast.
+    """
+    part = max(SPLIT, total // (4 * partitions(rows.sparkSession)))
+    hot = times.filter(F.col("times") > part).select(*on, F.ceil(F.col("times") / part).cast("int").alias("salts"))
+    keys = hot.collect() if total > SPLIT else []
+    if not keys:
+        return rows.join(one, list(on), how)
+    hot = rows.sparkSession.createDataFrame(keys, hot.schema)
+    hot, salts = F.broadcast(hot), F.coalesce("salts", F.lit(1))
+    left = rows.join(hot, list(on), "left").withColumn("salt", F.pmod(F.xxhash64(*by), salts).cast("int")).drop("salts")
+    right = one.join(hot, list(on), "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return left.join(right, [*on, "salt"], how).drop("salt")
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+__all__ = ["BROADCAST_BYTES", "bounded_broadcast", "documents", "partitions", "salted_join", "small_batches", "text_or_empty", "written"]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import setjoin as J
-from .common import documents, small_batches, text_or_empty, written
+from .common import documents, salted_join, small_batches, text_or_empty, written
 from .components import components
 
 
@@ -43,9 +43,9 @@ def merged(lists: DataFrame, links: DataFrame, comp: str | None) -> DataFrame:
     if comp:
         of = lists.select("id", "comp").distinct()
         links = links.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    moved = components(links).toDF("at", "to")
-    at = F.col(comp or "id")
-    return lists.join(moved, at == F.col("at"), "left").withColumn("comp", F.coalesce("to", at)).drop("at", "to")
+    lists, moved = lists.withColumn("at", F.col(comp or "id")), components(links).toDF("at", "to")
+    out = salted_join(lists, moved, ["at"], ["id", "hash"], lists.groupBy("at").agg(F.count("*").alias("times")), lists.count(), "left")
+    return out.withColumn("comp", F.coalesce("to", "at")).drop("at", "to")
 
 
 def similar_sets(docs: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = written(docs.mapInArrow(_scan, "doc_id long, n_shingles long, key long"), "sets")
-    classes = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key", "n_shingles").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"))
+    classes = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key", "n_shingles").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"), F.count("*").alias("times"))
     hopeful = J.promising(docs.filter("doc_id IS NOT NULL"), J.of_texts, J.entries(rows, "n_shingles"))
     chosen = written(classes.join(hopeful, "key").filter(J.can_link("n_shingles")).select(F.col("id").alias("doc_id")), "chosen")
     sets = written(J.semi(docs, chosen, "doc_id").mapInArrow(_sets, "id long, n int, hashes array<long>").filter("n > 0"), "members")
@@ -81,8 +81,7 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     links, comp = None, None
     for turn in range(ROUNDS):
         rank = F.xxhash64("id", "hash", F.lit(turn)) if turn else F.col("id")
-        heads = lists.groupBy("hash").agg(F.min(F.struct(rank.alias("rank"), *(F.col(c) for c in lists.columns if c != "hash"))).alias("head"))
-        near = lists.join(heads, "hash").filter(F.col(comp or "id") != F.col(f"head.{comp or 'id'}"))
+        near = J.first_of_lists(lists, rank).filter(F.col(comp or "id") != F.col(f"head.{comp or 'id'}"))
         near = near.filter(J.may_reach(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"))).select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct()
         found = written(J.linked(near, sets), "links")
         links = found if links is None else links.union(found)
@@ -111,7 +110,9 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     pairs = by_member.union(by_list).distinct()
     rest = J.linked(pairs, sets)
 
-    same = rows.filter("n_shingles > 0").join(classes.filter("id < last").select("key", "n_shingles", "id"), ["key", "n_shingles"]).filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    copies, of = written(classes.filter("id < last").select("key", "n_shingles", "id", "times"), "copies"), ["key", "n_shingles"]
+    same = salted_join(rows, copies.drop("times"), of, ["doc_id"], copies.select(*of, "times"), rows.count())
+    same = same.filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     final = components(links.union(rest).union(same)).select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))
     return rows.join(final, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -11,11 +11,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import bounded_broadcast, partitions, written
+from .common import bounded_broadcast, partitions, salted_join, written
 
 PERCENT = 75
 #: Entries that a task gathers before it sends them; memory is about 100 bytes for each.
@@ -179,6 +179,12 @@ def promising(df: DataFrame, sets: Sets, total_entries: int) -> DataFrame:
     return dealt(counted).mapInArrow(total, "key long, shared long")
 
 
+def first_of_lists(lists: DataFrame, first: Column) -> DataFrame:
+    """`lists` with the row of each list (of one hash) that is least by `first`, and then by its other columns, as `head`."""
+    heads = lists.groupBy("hash").agg(F.min(F.struct(first.alias("rank"), *(F.col(c) for c in lists.columns if c != "hash"))).alias("head"))
+    return salted_join(lists, heads, ["hash"], ["id"], lists.groupBy("hash").agg(F.count("*").alias("times")), lists.count())
+
+
 def can_link(n: str = "n", shared: str = "shared"):
     """needed(), as a column."""
     n = F.col(n)
@@ -206,10 +212,13 @@ def may_reach(n_a, pos_a, n_b, pos_b):
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, each verified on its whole sets."""
+    """The pairs (a, b) whose sets are similar enough, each verified on its whole sets. A set of very many pairs is sent to
+    several tasks."""
     one = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("hashes").alias("s_a"))
     two = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("hashes").alias("s_b"))
-    both = pairs.join(one, "a").join(two, "b")
+    pairs = written(pairs.select("a", "b"), "pairs")
+    total, often = pairs.count(), lambda end: pairs.groupBy(end).agg(F.count("*").alias("times"))
+    both = salted_join(salted_join(pairs, one, ["a"], ["b"], often("a"), total), two, ["b"], ["a"], often("b"), total)
     same = F.size(F.array_intersect("s_a", "s_b"))
     return both.filter(100 * same >= PERCENT * (F.col("n_a") + F.col("n_b") - same)).select("a", "b").distinct()
 
@@ -219,4 +228,4 @@ def semi(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     return df.join(bounded_broadcast(ids.select(on).distinct(), 16), on, "left_semi")
 
 
-__all__ = ["PERCENT", "can_link", "entries", "filter_length", "least_common", "linked", "may_reach", "needed", "of_texts", "prefixes", "promising", "semi", "set_key", "written"]
+__all__ = ["PERCENT", "can_link", "entries", "filter_length", "first_of_lists", "least_common", "linked", "may_reach", "needed", "of_texts", "prefixes", "promising", "semi", "set_key", "written"]

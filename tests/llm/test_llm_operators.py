@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fondscope.llm import common
 from fondscope.llm import components as CC
 from fondscope.llm import decontamination, language, line_dedup, ngram_join, packed_output, packing, pii, quality, registry, search, sharding, tokens, words
 
@@ -69,6 +70,26 @@ def test_long_words_of_two_letters():
     assert len(set(s.hashes.tolist())) == 199 and s.hashes[:199].tolist() == s.hashes[199:].tolist()
 
 
+def test_joins_with_hot_keys(spark, monkeypatch):
+    """A third of the rows have one key: they lie in several tasks, and the rows are those of a plain join."""
+    monkeypatch.setattr(common, "SPLIT", 50)
+    rows_ = spark.createDataFrame([(0 if k % 3 else k, k) for k in range(3000)], "key long, id long")
+    one = spark.createDataFrame([(k, f"v{k}") for k in range(0, 3000, 2)], "key long, value string")
+    times = rows_.groupBy("key").agg(F.count("*").alias("times"))
+    for how in ("inner", "left"):
+        got = common.salted_join(rows_, one, ["key"], ["id"], times, 3000, how)
+        want = rows_.join(one, "key", how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = common.salted_join(rows_, one, ["key"], ["id"], times, 3000)
+        assert got.filter("key = 0").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(150)]
@@ -100,8 +121,9 @@ def test_ngram_join(docs, rows, odd, spark):
     assert left.columns == odd.columns and sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 4, 5, 6, 7, 10, 11, 12, 13]
 
 
-def test_hot_group_of_near_copies(spark):
+def test_hot_group_of_near_copies(spark, monkeypatch):
     """Near copies that are mostly not similar to each other, but chained through others, with clean texts beside them."""
+    monkeypatch.setattr(common, "SPLIT", 5)
     rng = random.Random(5)
     vocabulary = [f"v{k}" for k in range(5000)]
     base = rng.sample(vocabulary, 120)
