@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..workspace import written
+from ..workspace import new_path, written
 
 #: A side of a join is broadcast only when it has been counted and is not above this many bytes.
 BROADCAST_BYTES = 32 << 20
@@ -52,6 +52,19 @@ def salted_join(rows: DataFrame, one: DataFrame, on: Sequence[str], by: Sequence
     return left.join(right, [*on, "salt"], how).drop("salt")
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write `df` once and read it back; and where it lies, for `removed`. For tables of rounds, of which only the last is needed."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -60,4 +73,4 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["BROADCAST_BYTES", "bounded_broadcast", "documents", "partitions", "salted_join", "small_batches", "text_or_empty", "written"]
+__all__ = ["BROADCAST_BYTES", "bounded_broadcast", "documents", "partitions", "removed", "salted_join", "small_batches", "stored", "text_or_empty", "written"]
