@@ -54,4 +54,44 @@ SELECT query_id, doc_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY
 FROM scores WHERE score > 0 QUALIFY rank <= 10
 """
 
-SQL = {"op5_ngram_jaccard_join": NGRAM_JOIN, "op7_exact_topk_search": TOP_K, "op9_line_dedup": LINE_DEDUP}
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+each AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda k: array_to_string(w[k:k + m - 1], ' '))) AS phrase FROM words, (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE len(w) >= m),
+counts AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f FROM (SELECT lang, m, phrase, count(*) AS f FROM each GROUP BY ALL) WHERE f >= 30),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+longer AS (
+    SELECT lang, phrase, max(f) AS f FROM (
+        SELECT lang, f, unnest(flatten(list_transform(range(2, m), lambda j: list_transform(range(1, m - j + 2), lambda k: array_to_string(w[k:k + j - 1], ' '))))) AS phrase FROM counts WHERE m >= 3)
+    GROUP BY ALL),
+kept AS (SELECT c.* FROM counts c LEFT JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase WHERE c.m >= 2 AND (g.f IS NULL OR 100::HUGEINT * g.f < 80::HUGEINT * c.f)),
+cuts AS (SELECT lang, phrase, w, m, f AS a, unnest(range(1, m)) AS k FROM kept),
+scores AS (
+    SELECT x.lang, x.phrase, x.a, x.k, b.f AS l, c.f AS r, CAST(2000000::HUGEINT * x.a // (b.f + c.f) AS BIGINT) AS score
+    FROM cuts x JOIN counts b ON b.lang = x.lang AND b.phrase = array_to_string(x.w[1:x.k], ' ') JOIN counts c ON c.lang = x.lang AND c.phrase = array_to_string(x.w[x.k + 1:x.m], ' ')),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM best JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+def _rounds(k: int = 40, rounds: int = 5) -> str:
+    """k-means over all pairs of vectors and centroids, a few tables for each round."""
+    parts = [
+        "v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS k, x AS c FROM (SELECT x, sha256('2:' || CAST(vec_id AS VARCHAR)) AS h FROM v WHERE vec_id IS NOT NULL ORDER BY h LIMIT {k}))",
+    ]
+    for t in range(rounds + 1):
+        parts.append(f"d{t} AS (SELECT vec_id, x, k, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, c{t})")
+        parts.append(f"a{t} AS (SELECT vec_id, any_value(x) AS x, arg_min(k, (d, k)) AS k, min(d) AS d FROM d{t} GROUP BY vec_id)")
+        if t < rounds:
+            parts.append(f"s{t} AS (SELECT k, i, sum(e) AS s, count(*) AS n FROM (SELECT k, unnest(x) AS e, unnest(range(1, 65)) AS i FROM a{t}) GROUP BY k, i)")
+            parts.append(f"m{t} AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{t} GROUP BY k)")
+            parts.append(f"c{t + 1} AS (SELECT c{t}.k, coalesce(m{t}.c, c{t}.c) AS c FROM c{t} LEFT JOIN m{t} ON m{t}.k = c{t}.k)")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(a.k AS INT) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.k = a.k"""
+
+
+SQL = {"op11_centroid_clustering": _rounds(), "op13_phrase_collocations": COLLOCATIONS, "op5_ngram_jaccard_join": NGRAM_JOIN, "op7_exact_topk_search": TOP_K, "op9_line_dedup": LINE_DEDUP}
