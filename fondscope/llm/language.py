@@ -169,19 +169,27 @@ def deviation(x: np.ndarray) -> float:
 def usual(texts: list[str], label: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Each language's log chances of triples, the middle and spread of its labelled pieces, and the bound below which a piece
     is an outlier: three interquartile ranges below the lower quartile of all labelled pieces. Pieces are measured by the other
-    half of their language's texts; a language with fewer than ENOUGH pieces has no bound (infinite spread)."""
+    half of their language's texts. A language with one text or fewer than ENOUGH pieces is measured by itself and has the
+    widest spread of the others, so that its labelled texts are usual, and gibberish is not; where there are no others, spreads are infinite."""
     chances, middle, spread, standings = np.zeros((languages, BUCKETS), np.float32), np.zeros(languages), np.full(languages, np.inf), []
+    rare: dict[int, np.ndarray] = {}
     for k in range(languages):
         mine = [t for t in (triples(texts[i]) for i in np.flatnonzero(label == k)) if len(t)]
         half = [sum((np.bincount(t, minlength=BUCKETS) for t in mine[f::2]), np.zeros(BUCKETS, int)) for f in (0, 1)]
         chances[k] = log_chances(half[0] + half[1])
         got = [pieces(log_chances(half[1 - f])[t]) for f in (0, 1) for t in mine[f::2]] if len(mine) > 1 else []
         if sum(len(n) for _, n in got) < ENOUGH:
+            own = [pieces(chances[k][t])[0] for t in mine]
+            rare |= {k: np.concatenate(own)} if own else {}
             continue
         value, n = (np.concatenate(x) for x in zip(*got, strict=True))
         middle[k] = np.median(value)
         spread[k] = max(0.1, deviation((value - middle[k]) * np.sqrt(n)))
         standings.append((value - middle[k]) * np.sqrt(n) / spread[k])
+    if standings:
+        widest = spread[np.isfinite(spread)].max()
+        for k, value in rare.items():
+            middle[k], spread[k] = np.median(value), widest
     q1, q3 = np.percentile(np.concatenate(standings), [25, 75]) if standings else (0.0, 0.0)
     return chances, middle, spread, float(q1 - 3 * (q3 - q1))
 
@@ -341,17 +349,19 @@ def accepted(docs: DataFrame) -> DataFrame:
 
     A text is cut into pieces; one is an outlier if its letter triples are less likely than those of almost all labelled pieces
     (`usual` sets the bound). Texts that have in no language a quarter of other pieces go: gibberish and languages that nobody labelled.
-    Where no row has a `lang` to learn from, only a letter is asked for. Rows and columns are otherwise as they were; null texts go.
+    Where no row has a `lang` to learn from, or no language has enough labelled pieces to tell what is usual, only a letter is asked for.
+    Rows and columns are otherwise as they were; null texts go.
     """
     model = learned(docs)
-    order = {k: sorted(range(len(model.languages)), key=lambda i: model.languages[i] != k) for k in model.languages}  # the predicted one first
+    bounded = [i for i in range(len(model.languages)) if np.isfinite(model.spread[i])]
+    order = {k: sorted(bounded, key=lambda i: model.languages[i] != k) for k in model.languages}  # the predicted one first
     names = docs.columns
     small_batches(docs.sparkSession)
 
     def keep(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            if model.languages:
+            if bounded:
                 lang, _ = predicted(texts, model)
                 kept = [k != UNKNOWN and any(is_usual(t, i, model) for i in order[k]) for k, t in zip(lang, texts, strict=True)]
             else:

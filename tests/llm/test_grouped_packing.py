@@ -1,0 +1,105 @@
+"""Packing in groups: ids against the vocabulary file's own tokenizer, first fit against a plain version, nothing lost."""
+
+import random
+import zlib
+from array import array
+
+import numpy as np
+import pytest
+
+from fondscope.llm import byte_tokens, tokens
+from fondscope.llm import grouped_packing as G
+
+SF = "/root/testdata/sf0.001"
+PATH = tokens.vocabulary(G.VOCABULARY)
+
+
+def ids(text):
+    from tokenizers import Tokenizer
+
+    return array("I", [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, G.END]).tobytes()
+
+
+def test_encoder():
+    e = byte_tokens.ByteEncoder(PATH)
+    rng = random.Random(4)
+    parts = ["a", "Bc", "é", "×", "ß", " ", "  ", "\n", "\t", "\r\n", "'s", "'ll", "'", "12", "３", "½", "!", "?!", "<|endoftext|>", "<|", "\x00", "\x1c", "\x85", "\xa0", "　", "​", "日本", "ǅ", "ﬁ", "́", "😀", "İ", "_", "-"]
+    for text in ["", " ", "\n ", "a \n", "long " * 5000, "x" * 20000, *("".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(4000))]:
+        assert e(text) == array("I", e.all.encode(text, add_special_tokens=False).ids).tobytes(), text
+    assert len(set(byte_tokens.byte_letters())) == 256
+
+
+def test_first_fit_decreasing():
+    rng = random.Random(2)
+    for n, capacity in ((0, 10), (1, 10), (200, 50), (500, 100), (300, 7)):
+        lengths = [rng.randint(1, capacity) for _ in range(n)]
+        free, want = [], []
+        for k in sorted(range(n), key=lambda k: -lengths[k]):
+            at = next((b for b, f in enumerate(free) if f >= lengths[k]), len(free))
+            free += [capacity] * (at == len(free))
+            want.append((lengths[k], at, capacity - free[at]))
+            free[at] -= lengths[k]
+        bins, offsets, used = G.first_fit_decreasing(np.array(lengths, np.int64), capacity)
+        assert sorted(zip(lengths, bins.tolist(), offsets.tolist(), strict=True)) == sorted(want) and used.tolist() == [capacity - f for f in free]
+
+
+def test_fillers():
+    rng = random.Random(3)
+    for _ in range(200):
+        used, spare = np.array([rng.randint(1, 64) for _ in range(rng.randrange(6))], np.int64), [rng.randint(1, 63) for _ in range(rng.randrange(8))]
+        parts = list(G.filled(used, spare, 64, 4))
+        for row, n in enumerate(spare):  # each filler is there once, in order
+            mine = [p for p in parts if p.row == row]
+            assert [p.start for p in mine] == np.cumsum([0, *(p.length for p in mine)]).tolist()[:-1] and sum(p.length for p in mine) == n
+        after = {b: int(u) for b, u in enumerate(used)}
+        for p in sorted(parts, key=lambda p: (p.bin, p.offset)):
+            assert after.setdefault(p.bin, 0) == p.offset
+            after[p.bin] += p.length
+        assert all(n <= 64 for n in after.values()) and all(n & (n - 1) == 0 for b, n in after.items() if b >= len(used))
+
+
+def checked(out, want):
+    """Rows `out` hold each document's ids once, and sequences have no gaps; the ids that pad them."""
+    by_doc, by_sequence = {}, {}
+    for r in out:
+        by_doc.setdefault((str(r.doc_id), r.doc_tokens), []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    expected = {}
+    for doc_id, text in want:
+        x = ids(text)
+        expected.setdefault((str(doc_id), len(x) // 4), []).append(x)
+    assert by_doc.keys() == expected.keys()
+    for key, texts in expected.items():
+        if len(texts) == 1:
+            at = 0
+            for r in sorted(by_doc[key], key=lambda r: r.start):
+                part = texts[0][4 * r.start : 4 * (r.start + r.length)]
+                assert r.start == at and zlib.crc32(part) == r.ids_crc32
+                at += r.length
+            assert at == key[1]
+        else:
+            assert sum(r.length for r in by_doc[key]) == key[1] * len(texts)
+    padding = 0
+    for rows in by_sequence.values():
+        rows.sort(key=lambda r: r.offset)
+        assert [r.offset for r in rows] == np.cumsum([0, *(r.length for r in rows)]).tolist()[:-1]
+        n = sum(r.length for r in rows)
+        assert 0 < n <= 2048
+        padding += 0 if n & (n - 1) == 0 else 2048 - n
+    return padding
+
+
+@pytest.mark.parametrize("size", [G.GROUP, 40])
+def test_packed_in_groups(spark, size):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = G.packed_in_groups(docs.repartition(3), size=size).collect()
+    assert checked(out, [(r.doc_id, r.text) for r in docs.collect()]) < 0.02 * sum(r.length for r in out)
+    assert size == G.GROUP or len({r.sequence_id >> 32 for r in out}) > 3
+
+
+def test_odd_documents(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (None, "of no number"), (4, "twice"), (4, "twice"), (5, "long " * 9000), (6, "x" * 9000), (7, "a <|endoftext|> b")]
+    d = spark.createDataFrame([(k, t, "s", 1, 2) for k, t in rows], "doc_id long, text string, row string, `group` int, start int")
+    checked(G.packed_in_groups(d).collect(), rows)
+    nothing = G.packed_in_groups(d.filter("false"))
+    assert nothing.count() == 0 and nothing.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
