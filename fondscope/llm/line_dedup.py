@@ -146,7 +146,10 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     m = {k: F.col(f"`{v}`") for k, v in _MADE.items()}
     text = F.coalesce(F.col("text"), F.lit(""))
     gone = repeated_lines(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text")))
-    gone = gone.select(F.col("doc_id").alias(_MADE["doc"]), F.col("version").alias(_MADE["version"]), F.col("lines").alias(_MADE["lines"])).hint("shuffle_hash")
+    gone = gone.select(F.col("doc_id").alias(_MADE["doc"]), F.col("version").alias(_MADE["version"]), F.col("lines").alias(_MADE["lines"]))
+    gone = written(gone, "gone")
+    size = gone.agg(F.sum(F.size(F.col(f"`{_MADE['lines']}`")) * 8 + 64)).first()[0] or 0
+    gone = F.broadcast(gone) if size <= BROADCAST_BYTES else gone.hint("shuffle_hash")  # counted: then no text is shuffled
     full = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(m["doc"]) & (F.xxhash64(text) == m["version"]), "left")
     full = full.select(m["lines"], *(F.col(f"`{c}`") for c in docs.columns))
     made = StructType([*docs.schema.fields, *(StructField(_MADE[k], LongType()) for k in ("n_lines", "n_removed"))])
