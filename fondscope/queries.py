@@ -307,6 +307,29 @@ def iso2709_flatten(spark, sf_dir):
     return records.flatten_records(records.read_iso2709(spark, _landed_iso2709(spark, sf_dir)), BY_NUMBER)
 
 
+ENTRIES = """f AS (SELECT rn, 1 AS k, '001' AS tag, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS body FROM o UNION ALL SELECT rn, 2, '245', '10' || chr(31) || 'aTïtre – ' || o_orderpriority || ' 日本' FROM o
+UNION ALL SELECT rn, CAST(2 + k AS INTEGER), '700', ' 1' || chr(31) || 'a' || l_partkey || chr(31) || 'e' || l_returnflag || 'ñ' || l_linestatus FROM items UNION ALL SELECT rn, 1001, '500', '  ' || chr(31) || 'a' || o_orderstatus || 'é' FROM o UNION ALL SELECT rn, 1002, '500', '  ' || chr(31) || 'a🜁' || chr(31) || 'b' FROM o)"""
+
+
+@query(f"""WITH {ORDERS}, {ITEMS}, {ENTRIES}, n AS (SELECT *, CAST(1 + row_number() OVER (PARTITION BY rn ORDER BY k) AS INTEGER) AS field_number FROM f), size AS (SELECT rn, 25 + 12 * count(*) AS base, sum(strlen(body) + 1) AS bytes FROM f GROUP BY rn),
+cut AS (SELECT rn, field_number, tag, string_split(body, chr(31)) AS p FROM n WHERE tag <> '001'), subs AS (SELECT rn, field_number, tag, unnest(range(2, len(p) + 1)) AS j, p FROM cut)
+SELECT rn AS record_number, 1 AS field_number, 1 AS subfield_number, 'LDR' AS field_code, '' AS subfield_code, lpad(CAST(base + bytes + 1 AS VARCHAR), 5, '0') || 'nam a22' || lpad(CAST(base AS VARCHAR), 5, '0') || ' i 4500' AS value FROM size
+UNION ALL SELECT rn, field_number, 1, '001', '', body FROM n WHERE tag = '001' UNION ALL SELECT rn, field_number, CAST(j - 1 AS INTEGER), tag, p[j][1:1], p[j][2:] FROM subs""")
+def iso2709_directory(spark, sf_dir):
+    """Records whose fields are stored in the opposite order of their directory, with repeated tags and characters of several bytes."""
+    field = lambda tag, *body: F.struct(F.lit(tag).alias("tag"), F.concat(*body).alias("body"))
+    o = X.table(spark, sf_dir, "orders").select(F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("key"), "o_orderpriority", "o_orderstatus")
+    items = F.transform("items", lambda i: field("700", F.lit(" 1\x1fa"), i["l_partkey"].cast("string"), F.lit("\x1fe"), i["l_returnflag"], F.lit("ñ"), i["l_linestatus"]))
+    made = _catalogue(spark, sf_dir).join(o, "key").select(F.concat(F.array(field("001", "key"), field("245", F.lit("10\x1faTïtre – "), "o_orderpriority", F.lit(" 日本"))), items, F.array(field("500", F.lit("  \x1fa"), "o_orderstatus", F.lit("é")), field("500", F.lit("  \x1fa🜁\x1fb")))).alias("fs"))
+    before = lambda k: F.aggregate(F.slice("fs", k + 2, F.size("fs")), F.lit(0), lambda n, f: n + F.octet_length(f["body"]) + 1)  # noqa: E731  bytes of what is stored before
+    places = lambda n, width: F.lpad(n.cast("string"), width, "0")
+    entries = F.array_join(F.transform("fs", lambda f, k: F.concat(f["tag"], places(F.octet_length(f["body"]) + 1, 4), places(before(k), 5))), "")
+    data = F.concat(F.array_join(F.transform(F.reverse("fs"), lambda f: f["body"]), "\x1e"), F.lit("\x1e"))
+    base = F.size("fs") * 12 + 25
+    record = F.concat(places(base + F.octet_length(data) + 1, 5), F.lit("nam a22"), places(base, 5), F.lit(" i 4500"), entries, F.lit("\x1e"), data)
+    return records.flatten_records(records.read_iso2709(spark, _landed(made.select(record), "directory", lineSep="\x1d")), BY_NUMBER)
+
+
 @query(PICA)
 def picaxml_flatten(spark, sf_dir):
     return records.flatten_records(records.read_picaxml(spark, _landed_picaxml(spark, sf_dir, True), in_pages=True), BY_NUMBER)
