@@ -17,7 +17,7 @@ def example_values(d: DataFrame, k: int = 7, seed: int | str = 1, counts: DataFr
     Groups can be as large as the dataset; they are cut to k values before the shuffle and before anything is collected.
     """
     counts = value_counts(d, by) if counts is None else counts
-    some = sample_per_group(counts.filter("value is not null"), [*by, *SUBFIELD], "value", k, seed)
+    some = sample_per_group(counts, [*by, *SUBFIELD], "value", k, seed).filter("value is not null")  # not before: others share the counts
     shown = some.withColumn("s", F.concat("value", F.lit(" ("), F.col("n").cast("string"), F.lit(")")))
     ordered = F.array_sort(F.collect_list(F.struct("rn", "s")))
     return shown.groupBy(*by, *SUBFIELD).agg(F.concat_ws("|", F.transform(ordered, lambda x: x["s"])).alias("e_vals"))

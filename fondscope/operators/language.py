@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import language_label, marc_language
+from ..workspace import bounded_broadcast
 from .usage import share_of_total
 
 
@@ -21,7 +22,7 @@ def language_codes(d: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def record_languages(d: DataFrame, dim: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(*by, record_number, language): labels `code (Name)`, or the bare code if `dim` (language_code, language) lacks it."""
     names = dim.select("language_code", F.col("language").alias("name")).dropDuplicates(["language_code"])
-    codes = language_codes(d, by).join(F.broadcast(names), "language_code", "left")
+    codes = language_codes(d, by).join(bounded_broadcast(names, 100), "language_code", "left")
     return codes.select(*by, "record_number", language_label("language_code", "name").alias("language"))
 
 

@@ -27,8 +27,8 @@ def seeded(seed: int | str, *cols) -> Column:
 
 
 def sample_per_group(df: DataFrame, keys: Sequence[str], order_col: str, k: int, seed: int | str) -> DataFrame:
-    """k random rows of each group and their rank `rn`. Spark cuts each partition's groups to k before the shuffle."""
-    order = Window.partitionBy(*keys).orderBy(seeded(seed, order_col), order_col)
+    """k random rows of each group and their rank `rn`, nulls of `order_col` last. Spark cuts each partition's groups to k before the shuffle."""
+    order = Window.partitionBy(*keys).orderBy(F.col(order_col).isNull(), seeded(seed, order_col), order_col)
     return df.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= k)
 
 

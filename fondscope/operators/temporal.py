@@ -4,20 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import digits_only, marc_year, to_year
 from ..schema import YEARS
 
 
+def _carries_year() -> Column:
+    return F.col("field_code").isin("008", "011@") & ((F.col("field_code") == "008") | (F.col("subfield_code") == "a"))
+
+
+def _year_text() -> Column:
+    return F.when(F.col("field_code") == "008", marc_year("value")).otherwise(F.col("value"))
+
+
 def record_years(d: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(*by, record_number, year): PICA 011@ $a, and places 8 to 11 of MARC 008, where they are digits.
 
     A row for each such field, not for each record; the year is null if the digits are too many for an integer.
     """
-    text = F.when(F.col("field_code") == "008", marc_year("value")).otherwise(F.col("value"))
-    rows = d.filter(F.col("field_code").isin("008", "011@")).filter((F.col("field_code") == "008") | (F.col("subfield_code") == "a"))
+    text = _year_text()
+    rows = d.filter(_carries_year())
     return rows.select(*by, "record_number", text.alias("text")).filter(digits_only("text")).select(*by, "record_number", to_year("text").alias("year"))
 
 
@@ -26,11 +34,14 @@ def year_histogram(d: DataFrame, lo: int = YEARS[0], hi: int = YEARS[1], by: Seq
     return record_years(d, by).filter(F.col("year").between(lo, hi)).groupBy(*by, "year").agg(F.count("*").alias("n"))
 
 
-def records_without(d: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Records of `d` that `keyed` doesn't have."""
-    return d.select("record_number").distinct().join(keyed.select("record_number").distinct(), "record_number", "left_anti")
+def records_without(d: DataFrame, keyed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(*by, record_number): records of `d` that `keyed` doesn't have."""
+    return d.select(*by, "record_number").distinct().join(keyed.select(*by, "record_number").distinct(), [*by, "record_number"], "left_anti")
 
 
-def records_without_year(d: DataFrame) -> DataFrame:
-    """(n): records without any year. The range plays no part: a record with a year out of range has one."""
-    return records_without(d, record_years(d)).agg(F.count("*").alias("n"))
+def records_without_year(d: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(*by, n): records without any year; 0 where all have one. The range plays no part: a record with a year out of range has
+    one. One scan and one exchange by record: whether any of a record's rows carries a year is a plain aggregate."""
+    dated = F.coalesce(_carries_year() & digits_only(_year_text()), F.lit(False))
+    records = d.select(*by, "record_number", dated.alias("dated")).groupBy(*by, "record_number").agg(F.bool_or("dated").alias("dated"))
+    return records.groupBy(*by).agg(F.count_if(~F.col("dated")).alias("n"))

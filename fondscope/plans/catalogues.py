@@ -8,10 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.temporal import record_years
-from ..schema import DATASETS, YEARS, Dataset
+from ..schema import DATASETS, Dataset, registry
 from ..sources import nested, records
-from ..sources.attributes import read_attributes, write_attributes
+from ..sources.attributes import exists, read_attributes, write_attributes
+from ..sources.dimensions import FIELDS, SUBFIELDS, read_descriptions
+from ..sources.inventory import dataset_date, modification_times
+from .composition import composition, years_within
+
+BY = ("dataset",)
 
 #: How the records of each format are read.
 READERS = {
@@ -44,7 +48,43 @@ def read_datasets(spark: SparkSession, folder: str, datasets: Iterable[str] = tu
 def years_by_dataset(d: DataFrame, ranges: DataFrame) -> DataFrame:
     """(dataset, year, n) within each dataset's range of `ranges` (dataset, min_year, max_year); a dataset that it lacks has the
     default range."""
-    ranges = F.broadcast(ranges.select("dataset", "min_year", "max_year").dropDuplicates(["dataset"]))
-    years = record_years(d, ["dataset"]).join(ranges, "dataset", "left")
-    inside = F.col("year").between(F.coalesce("min_year", F.lit(YEARS[0])), F.coalesce("max_year", F.lit(YEARS[1])))
-    return years.filter(inside).groupBy("dataset", "year").agg(F.count("*").alias("n"))
+    return years_within(d, BY, ranges)
+
+
+def read_all_descriptions(spark: SparkSession, folder: str, datasets: Iterable[Dataset] = DATASETS) -> tuple[DataFrame, DataFrame]:
+    """Descriptions of fields and of subfields for each dataset that names some, from `folder`/<name>_fields.tsv and _subfields.tsv."""
+    named = {d.dataset: d.descriptions for d in datasets}
+
+    def all_of(part: str, schema: str) -> DataFrame:
+        tables = [read_descriptions(spark, name and f"{folder}/{name}_{part}.tsv", schema).withColumn("dataset", F.lit(k)) for k, name in named.items()]
+        return reduce(DataFrame.unionByName, tables)
+
+    return all_of("fields", FIELDS), all_of("subfields", SUBFIELDS)
+
+
+def dataset_dates(spark: SparkSession, inputs: str, datasets: Iterable[Dataset] = DATASETS) -> DataFrame:
+    """(dataset, date) of datasets whose input files lie in `inputs`/<dataset>: the fixed one; else the greatest date that came with one
+    of the files that count (in <file>.last_modified), or the newest of these files' own times in UTC; '' if there are none."""
+
+    def of(d: Dataset) -> DataFrame:
+        files = f"{inputs}/{d.dataset}/{d.dated or d.inputs}" + (".last_modified" if d.dates == "headers" else "")
+        if d.date_modified or not exists(spark, files):
+            found = spark.createDataFrame([(d.date_modified or "",)], "date string")
+        elif d.dates == "headers":
+            found = dataset_date(spark.read.text(files))
+        else:
+            found = dataset_date(None, modification_times(spark, files))
+        return found.select(F.lit(d.dataset).alias("dataset"), "date")
+
+    return reduce(DataFrame.unionByName, (of(d) for d in datasets))
+
+
+def report(spark: SparkSession, folder: str, descriptions: str, dim: DataFrame, datasets: Iterable[Dataset] = DATASETS, inputs: str | None = None) -> dict[str, DataFrame]:
+    """The reports of datasets, whose attribute tables lie in `folder`, in the same jobs: as the registry says, each with its own
+    descriptions (from the folder `descriptions`), range of years and, if `inputs` is given, date. `datasets` has their names."""
+    datasets = list(datasets)
+    d = read_datasets(spark, folder, [x.dataset for x in datasets])
+    fdesc, sdesc = read_all_descriptions(spark, descriptions, datasets)
+    about = spark.createDataFrame(datasets, registry(spark).schema).select("dataset", "name", "min_year", "max_year")
+    names = about.join(dataset_dates(spark, inputs, datasets), "dataset", "left") if inputs else about
+    return {"datasets": names.orderBy("dataset"), **composition(d, dim, fdesc, sdesc, by=BY, ranges=about)}

@@ -171,6 +171,53 @@ def years_by_dataset(spark, sf_dir):
     return catalogues.years_by_dataset(X.attributes_by_dataset(spark, sf_dir), spark.sql(RANGES))
 
 
+#: Two datasets whose record numbers collide: all records, and the even ones without a part of their fields.
+COLLIDING = f"{X.WITH}, ds AS (SELECT 'cnb' AS dataset, att.* FROM att UNION ALL SELECT 'hpb', att.* FROM att WHERE record_number % 2 = 0 AND (record_number % 4 = 0 OR field_code NOT IN ('008', '011@')))"
+REPORT_RANGES = "SELECT * FROM (VALUES ('cnb', 1990, 1996), ('hpb', 1995, 1997)) AS ranges(dataset, min_year, max_year)"
+
+
+@query(f"""{COLLIDING}, r AS ({REPORT_RANGES}), recs AS (SELECT dataset, record_number, count(*) AS n FROM ds GROUP BY ALL), total AS (SELECT dataset, count(*) AS t FROM recs GROUP BY dataset),
+years AS (SELECT dataset, record_number, TRY_CAST(t AS INTEGER) AS year FROM (SELECT dataset, record_number, value AS t FROM ds WHERE field_code = '011@' AND subfield_code = 'a' UNION ALL SELECT dataset, record_number, substr(value, 8, 4) FROM ds WHERE field_code = '008') WHERE regexp_full_match(t, '[0-9]+')),
+langs AS (SELECT dataset, record_number, CASE WHEN language IS NULL THEN code ELSE code || ' (' || language || ')' END AS language FROM (SELECT dataset, record_number, value AS code FROM ds WHERE field_code = '010@' AND subfield_code = 'a' UNION ALL SELECT dataset, record_number, substr(value, 36, 3) FROM ds WHERE field_code = '008') LEFT JOIN dim ON code = language_code),
+per AS (SELECT dataset, record_number, field_code, count(*) AS n FROM ds GROUP BY ALL), sper AS (SELECT dataset, record_number, field_code, subfield_code, count(*) AS n FROM ds GROUP BY ALL), vals AS (SELECT dataset, field_code, subfield_code, value, count(*) AS n FROM ds GROUP BY ALL),
+ex AS (SELECT dataset, field_code, subfield_code, string_agg(value || ' (' || CAST(n AS VARCHAR) || ')', '|' ORDER BY rn) AS e_vals FROM (SELECT *, row_number() OVER (PARTITION BY dataset, field_code, subfield_code ORDER BY md5(concat_ws('|', '1', value)), value) AS rn FROM vals) WHERE rn <= 7 GROUP BY ALL)
+SELECT dataset, 'totals' AS part, 'records' AS key, count(*) AS n, NULL AS about FROM recs GROUP BY dataset UNION ALL SELECT dataset, 'totals', 'rows', CAST(sum(n) AS BIGINT), NULL FROM recs GROUP BY dataset
+UNION ALL SELECT dataset, 'years', CAST(year AS VARCHAR), count(*), NULL FROM years JOIN r USING (dataset) WHERE year BETWEEN min_year AND max_year GROUP BY dataset, year
+UNION ALL SELECT dataset, 'without_year', '', count(*) FILTER (y.record_number IS NULL), NULL FROM recs LEFT JOIN (SELECT DISTINCT dataset, record_number FROM years) y USING (dataset, record_number) GROUP BY dataset
+UNION ALL SELECT dataset, 'languages', language, count(*), NULL FROM recs LEFT JOIN langs USING (dataset, record_number) GROUP BY dataset, language
+UNION ALL SELECT dataset, 'fields', field_code, count(*), printf('%.6f %s', count(*) / any_value(t), any_value(CASE WHEN dataset = 'cnb' THEN field_description END)) FROM per JOIN total USING (dataset) LEFT JOIN fdesc USING (field_code) GROUP BY dataset, field_code
+UNION ALL SELECT dataset, 'subfields', field_code || '$' || subfield_code, count(*), any_value(e_vals) FROM sper JOIN ex USING (dataset, field_code, subfield_code) GROUP BY dataset, field_code, subfield_code
+UNION ALL SELECT dataset, 'codes', 'fields', count(DISTINCT field_code), NULL FROM ds GROUP BY dataset UNION ALL SELECT dataset, 'codes', 'subfields', count(DISTINCT field_code || '$' || subfield_code), NULL FROM ds GROUP BY dataset""")
+def composition_by_dataset(spark, sf_dir):
+    """The reports of two datasets with colliding record numbers in one job, by the registry: only the first has field descriptions."""
+    d, at = X.attributes(spark, sf_dir), new_path(spark, "reports")
+    A.write_attributes(d, f"{at}/cnb.parquet")
+    A.write_attributes(d.filter("record_number % 2 = 0 AND (record_number % 4 = 0 OR field_code NOT IN ('008', '011@'))"), f"{at}/hpb.parquet")
+    for name, table in (("own_fields", X.fields(spark)), ("own_subfields", X.subfields(spark))):
+        table.write.option("sep", "\t").option("header", True).option("quote", "").option("nullValue", "NA").csv(f"{at}/{name}.tsv")
+    of = {x.dataset: x for x in DATASETS}
+    made = catalogues.report(spark, at, at, X.languages(spark), [of["cnb"]._replace(descriptions="own", min_year=1990, max_year=1996), of["hpb"]._replace(descriptions=None, min_year=1995, max_year=1997)])
+    row = lambda name, key, n, about=None: made[name].select("dataset", F.lit(name).alias("part"), key.alias("key"), F.col(n).alias("n"), (F.lit(None).cast("string") if about is None else about).alias("about"))
+    share = F.concat(F.format_string("%.6f ", "r_p"), "field_description")
+    parts = [row("totals", F.lit("records"), "n_records"), row("totals", F.lit("rows"), "n_rows"), row("years", F.col("year").cast("string"), "n"), row("without_year", F.lit(""), "n"), row("languages", F.col("language"), "n"), row("codes", F.lit("fields"), "n_fields"), row("codes", F.lit("subfields"), "n_subfields")]
+    parts += [row("fields", F.col("field_code"), "records", share), row("subfields", F.concat("field_code", F.lit("$"), "subfield_code"), "records", F.col("e_vals"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+DATED = "SELECT * FROM (VALUES " + ", ".join(f"({k}, '{x.dataset}', {repr(x.date_modified) if x.date_modified else 'NULL'})" for k, x in enumerate(x for x in DATASETS if x.date_modified or x.dates == "headers")) + ") AS dated(k, dataset, fixed)"
+
+
+@query(f"WITH d AS ({DATED}) SELECT dataset, coalesce(any_value(fixed), max(strftime(o_orderdate, '%Y-%m-%d')), '') AS date FROM d LEFT JOIN orders ON o_orderkey % 9 = k GROUP BY dataset")
+def registry_dates(spark, sf_dir):
+    """Each dataset's date as the registry says; the dates that came with its files are those of a ninth of the orders."""
+    o, at = X.table(spark, sf_dir, "orders"), new_path(spark, "dated")
+    named = [x for x in DATASETS if x.date_modified or x.dates == "headers"]
+    for k, x in enumerate(named):
+        lines = o.filter(F.col("o_orderkey") % 9 == k).select(F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" ")))
+        lines.write.text(f"{at}/{x.dataset}/{(x.dated or x.inputs).replace('*', 'all')}.last_modified")
+    return catalogues.dataset_dates(spark, at, named)
+
+
 NAMES = "names AS (SELECT value, count(*) AS n FROM att WHERE field_code = '700' AND subfield_code = 'a' GROUP BY value)"
 
 
@@ -183,6 +230,19 @@ def quantile_class(spark, sf_dir):
     return usage.quantile_class(_names(spark, sf_dir), "n")
 
 
+@query(f"{X.WITH}, {PER_SUBFIELD}, b AS (SELECT quantile_cont(n, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]) AS q FROM vals) SELECT field_code, subfield_code, value, n, CAST(1 + len(list_filter(q, lambda x: x <= n)) AS INTEGER) AS class FROM vals, b")
+def value_classes(spark, sf_dir):
+    """Classes of all distinct values by how often they occur."""
+    return usage.quantile_class(usage.value_counts(X.attributes(spark, sf_dir)), "n")
+
+
+@query("SELECT round(quantile_cont(o_totalprice, 0.1), 4) AS low, round(quantile_cont(o_totalprice, 0.5), 4) AS middle, round(quantile_cont(o_totalprice, 0.999), 4) AS high FROM orders")
+def exact_quantiles(spark, sf_dir):
+    """By rounds that divide only the ranges that hold a quantile: no more than 1,000 values are ever looked at together."""
+    found = usage.quantiles(X.table(spark, sf_dir, "orders"), "o_totalprice", [0.1, 0.5, 0.999], most=1000)
+    return spark.createDataFrame([tuple(round(x, 4) for x in found)], "low double, middle double, high double")
+
+
 @query(f"{X.WITH}, {NAMES} SELECT value, n, round((n - min(n) OVER ()) / (max(n) OVER () - min(n) OVER ()), 9) AS position FROM names")
 def minmax_scale(spark, sf_dir):
     return usage.minmax_scale(_names(spark, sf_dir), "n").withColumn("position", F.round("position", 9))
