@@ -41,3 +41,12 @@ def sample_records(d: DataFrame, percent: float, seed: int | str) -> DataFrame:
 def sample_rows(df: DataFrame, percent: float, seed: int) -> DataFrame:
     """About `percent` of the rows, by Spark's Bernoulli sample."""
     return df.sample(fraction=percent / 100, seed=seed)
+
+
+def sample_blocks(d: DataFrame, percent: float, seed: int | str) -> DataFrame:
+    """The rows of about `percent` of a table's files, drawn by a seeded digest of their names, with `weight`: what a row counts for in
+    estimates of the whole. `d` is read from files; as the draw depends on their names only, what isn't drawn isn't read. The files of
+    `write_attributes` are bounded in rows, so estimates vary little; each file has the same chance, so they aren't biased."""
+    bound = format(min(0xFFFFFFFF, int(percent / 100 * 0x100000000)), "08x")
+    drawn = d if percent >= 100 else d.filter(F.substring(seeded(seed, F.col("_metadata.file_name")), 1, 8) < bound)
+    return drawn.withColumn("weight", F.lit(100.0 / min(100.0, percent)))

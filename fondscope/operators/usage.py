@@ -91,11 +91,17 @@ def subfield_usage(d: DataFrame, counts: DataFrame | None = None, by: Sequence[s
 
 
 def with_distinct(usage: DataFrame, counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Subfield usage with dist_vals; null codes are codes like others."""
+    """Subfield usage with dist_vals; null codes are codes like others. Rows are taken from `counts` too: with all of its columns in use,
+    its exchange is the same as that of `example_values`, and done once for both."""
     keys = [*by, *SUBFIELD]
-    values = distinct_values(counts, by).select(*(F.col(k).alias(f"_{k}") for k in keys), "dist_vals")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return usage.join(values, same).drop(*(f"_{k}" for k in keys))
+    values = counts.groupBy(*keys).agg(F.count("value").alias("dist_vals"), F.sum("n").alias("_n"))
+    return joined(usage, values, keys).select(*(F.col("_n").alias("n") if c == "n" else F.col(c) for c in usage.columns), "dist_vals")
+
+
+def joined(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which null is a value like others; so no filter of nulls is pushed into either side, and exchanges stay alike."""
+    b = b.withColumnsRenamed({k: f"_{k}" for k in keys})
+    return a.join(b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], how).drop(*(f"_{k}" for k in keys))
 
 
 def code_counts(d: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import field_link
 from ..operators.examples import example_values
 from ..operators.language import language_distribution
 from ..operators.temporal import record_years, records_without_year
-from ..operators.usage import FIELDS, SUBFIELD, SUBFIELDS, codes_of, totals_of, usage_levels, usage_of, value_counts, with_distinct
+from ..operators.usage import FIELDS, SUBFIELD, SUBFIELDS, codes_of, joined, totals_of, usage_levels, usage_of, value_counts, with_distinct
 from ..schema import YEARS
 from ..sources.inventory import file_inventory
 from ..workspace import bounded_broadcast, written
@@ -48,7 +48,7 @@ def _subfields(d: DataFrame, levels: DataFrame, fdesc: DataFrame | None, sdesc:
     fdesc = spark.createDataFrame([], NO_FIELDS) if fdesc is None else fdesc
     sdesc = spark.createDataFrame([], NO_SUBFIELDS) if sdesc is None else sdesc
     counts = value_counts(d, by)
-    out = with_distinct(usage_of(levels, SUBFIELDS, by), counts, by).join(example_values(d, k, seed, counts, by), [*by, *SUBFIELD], "left")
+    out = joined(with_distinct(usage_of(levels, SUBFIELDS, by), counts, by), example_values(d, k, seed, counts, by), [*by, *SUBFIELD], "left")
     out = with_descriptions(with_descriptions(out, sdesc, SUBFIELD, by), fdesc, ["field_code"], by)
     names = ["field_code", "subfield_code", "subfield_description", "records", "r_p", "dist_vals", "e_vals", "n", "vals_per_rec", "recs_with_mult_vals", "field_description", "url"]
     return out.select(*by, *names).orderBy(*by, *SUBFIELD)

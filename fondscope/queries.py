@@ -18,7 +18,7 @@ from .operators import examples, language, numbering, selection, temporal, usage
 from .plans import catalogues, composition
 from .schema import DATASETS
 from .sources import attributes as A
-from .sources import dimensions, harvest, inventory, nested, records
+from .sources import digests, dimensions, harvest, inventory, merge, nested, records
 from .streaming import ingest
 from .workspace import new_path, once
 
@@ -494,6 +494,78 @@ def harvest_audit(spark, sf_dir):
     return harvest.harvest_audit(landed, 50)
 
 
+#: Pages of 50 orders in a harvest of every fourth order: some lost, some short, some landed twice or a page too early, and one beyond the total.
+GAPS = """o AS (SELECT concat('h', o_orderkey % 4) AS harvest, o_orderkey // 4 + 1 AS position FROM orders), t AS (SELECT harvest, max(position) AS total FROM o GROUP BY harvest),
+p AS (SELECT DISTINCT harvest, (position - 1) // 50 AS page FROM o), l AS (SELECT harvest, page * 50 + 1 AS start, CASE WHEN page % 5 = 1 THEN 30 ELSE 50 END AS records FROM p WHERE page % 7 <> 3
+UNION ALL SELECT harvest, page * 50 + 1, 50 FROM p WHERE page % 6 = 5 UNION ALL SELECT harvest, page * 50 + 26, 50 FROM p WHERE page % 9 = 8)"""
+
+
+@query(f"""WITH {GAPS}, ends AS (SELECT harvest, greatest(max(total), max(last)) AS n, max(total) AS total FROM (SELECT harvest, total, 0 AS last FROM t UNION ALL SELECT harvest, 0, start + records - 1 FROM l) GROUP BY harvest),
+pos AS (SELECT harvest, total, unnest(range(1, n + 1)) AS x FROM ends), c AS (SELECT pos.harvest, total, x, count(start) AS times FROM pos LEFT JOIN l ON l.harvest = pos.harvest AND x >= start AND x < start + records GROUP BY ALL),
+k AS (SELECT harvest, x, CASE WHEN x <= total AND times = 0 THEN 'missing' WHEN x > total AND times > 0 THEN 'undeclared' WHEN times > 1 THEN 'doubled' END AS kind FROM c),
+g AS (SELECT harvest, kind, x, x - row_number() OVER (PARTITION BY harvest, kind ORDER BY x) AS island FROM k WHERE kind IS NOT NULL)
+SELECT harvest, kind, min(x) AS first, max(x) AS last, count(*) AS records FROM g GROUP BY harvest, kind, island""")
+def harvest_gaps(spark, sf_dir):
+    """Landed pages against declared totals, by the records that the pages hold."""
+    o = X.table(spark, sf_dir, "orders").select(F.concat(F.lit("h"), F.col("o_orderkey") % 4).alias("harvest"), (F.floor(F.col("o_orderkey") / 4) + 1).alias("position"))
+    totals = o.groupBy("harvest").agg(F.max("position").alias("total"))
+    page = o.select("harvest", F.floor((F.col("position") - 1) / 50).alias("page")).distinct()
+    landed = lambda df, start, records: df.select("harvest", (F.col("page") * 50 + start).alias("start"), records.alias("records"))
+    pages = landed(page.filter("page % 7 <> 3"), 1, F.when(F.col("page") % 5 == 1, 30).otherwise(50)).unionByName(landed(page.filter("page % 6 = 5"), 1, F.lit(50))).unionByName(landed(page.filter("page % 9 = 8"), 26, F.lit(50)))
+    content = F.concat(F.lit("<zs:searchRetrieveResponse>"), F.repeat(F.lit("<zs:record><x/></zs:record>"), F.col("records")))
+    pages = pages.select("harvest", "start", content.alias("content")).select("harvest", "start", harvest.page_records().alias("records"))
+    return harvest.reconciled(pages, totals, span=1000)
+
+
+UPSERT = """base AS (SELECT CAST(o_orderkey AS VARCHAR) AS record_id, strftime(o_orderdate, '%Y-%m-%d') AS datestamp, CASE WHEN o_orderkey % 50 = 7 THEN 'deleted' END AS status, o_custkey AS n FROM orders),
+win AS (SELECT record_id || CASE WHEN n % 10 = 5 THEN '-new' ELSE '' END AS record_id, CASE WHEN n % 10 = 6 THEN '1900-01-01' ELSE '2030-01-01' END AS datestamp, CASE WHEN n % 10 = 4 THEN 'deleted' END AS status, n + 1000000 AS n FROM base WHERE n % 10 BETWEEN 3 AND 6)"""
+
+
+@query(f"WITH {UPSERT} SELECT record_id, datestamp, n FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY datestamp DESC, w DESC) AS k FROM (SELECT *, 0 AS w FROM base UNION ALL SELECT *, 1 FROM win)) WHERE k = 1 AND status IS NULL")
+def harvest_upsert(spark, sf_dir):
+    """A window of changed, deleted, new and outdated records, merged into a table of records, and merged again."""
+    o, path = X.table(spark, sf_dir, "orders"), new_path(spark, "merged")
+    deleted = lambda c: F.when(c, F.lit(merge.DELETED))
+    base = o.select(F.col("o_orderkey").cast("string").alias("record_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("datestamp"), deleted(F.col("o_orderkey") % 50 == 7).alias("status"), F.col("o_custkey").alias("n"))
+    k = F.col("n") % 10
+    window = base.filter(k.between(3, 6)).select(F.concat("record_id", F.when(k == 5, "-new").otherwise("")).alias("record_id"), F.when(k == 6, "1900-01-01").otherwise("2030-01-01").alias("datestamp"), deleted(k == 4).alias("status"), (F.col("n") + 1000000).alias("n"))
+    merge.create_table(base, path, buckets=8)
+    merge.merge_window(window, path)
+    merge.merge_window(window, path)
+    return merge.read_table(spark, path).drop("status")
+
+
+FILES = "SELECT o_orderkey % 16 AS file, o_orderkey, concat(o_orderkey, chr(9), o_orderpriority, ' – ', o_totalprice > 1000) AS line FROM orders"
+RESIDUE = lambda k: f"list_reduce(list_prepend(0::HUGEINT, list(CAST('0x' || substr(md5(line), {1 + 8 * k}, 8) AS HUGEINT) % {digests.P} ORDER BY o_orderkey)), lambda a, b: (a * {digests.PLACES[k]} + b) % {digests.P})"
+
+
+@query(f"SELECT file, count(*) AS lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, {' || '.join(f'printf({chr(39)}%08x{chr(39)}, CAST({RESIDUE(k)} AS BIGINT))' for k in range(digests.RESIDUES))} AS digest FROM ({FILES}) GROUP BY file")
+def content_fingerprints(spark, sf_dir):
+    """Versions of files from the ranges of them that tasks have read."""
+    path = new_path(spark, "digested")
+    o = X.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 16).alias("file"), "o_orderkey", F.concat(F.col("o_orderkey").cast("string"), F.lit("\t"), "o_orderpriority", F.lit(" – "), (F.col("o_totalprice") > 1000).cast("string")).alias("value"))
+    o.repartition(16, "file").sortWithinPartitions("file", "o_orderkey").select("file", "value").write.partitionBy("file").text(path)
+    made = digests.content_fingerprint(spark, f"{path}/file=*/*")
+    return made.select(F.regexp_extract("file", "file=([0-9]+)", 1).cast("long").alias("file"), "lines", "bytes", "digest")
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY CAST(o_orderkey % 12 AS VARCHAR), o_orderkey) AS BIGINT) AS record_number, CAST(o_orderkey AS VARCHAR) AS value FROM orders")
+def numbers_by_place(spark, sf_dir):
+    """Records of several files, a third of them without a control number, numbered by file and place."""
+    data = F.concat(F.lit("  \x1fa"), F.col("o_orderkey").cast("string"))
+    control = F.when(F.col("o_orderkey") % 3 != 0, F.lit("7"))
+    entry = lambda tag, n, at: F.concat(F.lit(tag), F.lpad(n.cast("string"), 4, "0"), F.lpad(at.cast("string"), 5, "0"))
+    fields = F.concat(F.when(control.isNotNull(), F.concat(control, F.lit("\x1e"))).otherwise(F.lit("")), data, F.lit("\x1e"))
+    entries = F.concat(F.when(control.isNotNull(), entry("001", F.lit(2), F.lit(0))).otherwise(F.lit("")), entry("245", F.length(data) + 1, F.when(control.isNotNull(), 2).otherwise(0)))
+    base = F.length(entries) + 25
+    record = F.concat(F.lpad((base + F.length(fields) + 1).cast("string"), 5, "0"), F.lit("nam a22"), F.lpad(base.cast("string"), 5, "0"), F.lit(" i 4500"), entries, F.lit("\x1e"), fields)
+    o, path = X.table(spark, sf_dir, "orders"), new_path(spark, "placed")
+    o = o.select((F.col("o_orderkey") % 12).alias("file"), "o_orderkey", record.alias("value")).repartition(12, "file").sortWithinPartitions("file", "o_orderkey")
+    o.select("file", "value").write.partitionBy("file").option("lineSep", "\x1d").text(path)
+    rows = records.flatten_records(records.read_iso2709(spark, f"{path}/file=*/*"), None)
+    return rows.filter("field_code = '245'").select("record_number", "value")
+
+
 @query(r"SELECT * FROM (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '^\s+|\s+$', '', 'g') AS title FROM pages) WHERE title <> ''")
 def title_index(spark, sf_dir):
     pages = X.table(spark, sf_dir, "pages")
@@ -518,14 +590,51 @@ def file_inventory(spark, sf_dir):
     return inventory.file_inventory(spark, f"{path}/*.parquet")
 
 
-SHOWN = " || '|' || ".join(f"CAST(length(coalesce(CAST({c} AS VARCHAR), '\\N')) AS VARCHAR) || ':' || coalesce(CAST({c} AS VARCHAR), '\\N')" for c in ALL.split(", "))
+def _shown(*but: str) -> str:
+    """What a row's digest is made of, without some columns."""
+    return " || '|' || ".join(f"CAST(length(coalesce(CAST({c} AS VARCHAR), '\\N')) AS VARCHAR) || ':' || coalesce(CAST({c} AS VARCHAR), '\\N')" for c in ALL.split(", ") if c not in but)
+
+
+DIGESTS = "count(*) AS rows, bit_xor(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS xor, CAST(sum(CAST('0x' || substr(h, 17, 6) AS BIGINT)) AS BIGINT) AS sum"
 
 
-@query(f"{X.WITH} SELECT count(*) AS rows, bit_xor(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS xor, CAST(sum(CAST('0x' || substr(h, 17, 6) AS BIGINT)) AS BIGINT) AS sum FROM (SELECT md5({SHOWN}) AS h FROM att)")
+@query(f"{X.WITH} SELECT {DIGESTS} FROM (SELECT md5({_shown()}) AS h FROM att)")
 def fingerprint(spark, sf_dir):
     return inventory.fingerprint(X.attributes(spark, sf_dir))
 
 
+@query(f"{X.WITH} SELECT CAST(NULL AS VARCHAR) AS field_code, {DIGESTS} FROM (SELECT md5({_shown()}) AS h FROM att) UNION ALL SELECT field_code, {DIGESTS} FROM (SELECT field_code, md5({_shown('field_code')}) AS h FROM att) GROUP BY field_code")
+def updated_fingerprints(spark, sf_dir):
+    """The fingerprint of a table, and those of its fields, from those of files that were there and of files that came later."""
+    d = X.attributes(spark, sf_dir)
+    old, new = d.filter("record_number % 5 <> 0"), d.filter("record_number % 5 = 0")
+    whole = inventory.combined_fingerprints(inventory.fingerprint(old), inventory.fingerprint(new))
+    parts = inventory.combined_fingerprints(inventory.fingerprint(old, ["field_code"]), inventory.fingerprint(new, ["field_code"]), by=["field_code"])
+    return whole.select(F.lit(None).cast("string").alias("field_code"), "*").unionByName(parts)
+
+
+@query(f"{X.WITH}, {PER_FIELD}, {FIELD_USAGE} SELECT * FROM usage")
+def usage_bucketed(spark, sf_dir):
+    """Field usage of a table in buckets by record: its rows are counted where they lie."""
+    path = new_path(spark, "bucketed")
+    d = A.write_bucketed(X.attributes(spark, sf_dir), path.rpartition("/")[2].replace("-", "_"), path, 8)
+    return usage.field_usage(d, dealt=True)
+
+
+@query(f"{X.WITH} SELECT {ALL} FROM att WHERE field_code = '700' AND subfield_code = 'a' AND value IN ('7', '77', '177')")
+def look_up_values(spark, sf_dir):
+    d = A.write_by_value(X.attributes(spark, sf_dir), new_path(spark, "by_value"))
+    return selection.select_field(d, "700", "a").filter(F.col("value").isin("7", "77", "177"))
+
+
+@query()
+def sample_blocks(spark, sf_dir):
+    """About half of a table's files, with the weight of their rows; which ones follows from their names."""
+    path = new_path(spark, "blocks")
+    A.write_attributes(X.attributes(spark, sf_dir), path, rows_per_file=5000)
+    return selection.sample_blocks(spark.read.parquet(path), 50, 1)
+
+
 @query(f"""{X.WITH}, {YEARS}, {LANGS}, {PER_FIELD}, {FIELD_USAGE}, {PER_SUBFIELD}, {SUBFIELD_USAGE}
 SELECT 'totals' AS part, 'records' AS key, count(DISTINCT record_number) AS n FROM att UNION ALL SELECT 'totals', 'rows', count(*) FROM att
 UNION ALL SELECT 'years', CAST(year AS VARCHAR), count(*) FROM years WHERE year BETWEEN 1000 AND 2050 GROUP BY year

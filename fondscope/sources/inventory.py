@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,13 +18,24 @@ def file_inventory(spark: SparkSession, path: str, kind: str = "parquet") -> Dat
     return files.select(name.alias("file"), "bytes", size_text("bytes").alias("size")).orderBy("file")
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """(rows, xor, sum): a version of the table's content that doesn't depend on the order of rows or on files, from MD5 digests of
-    the rows: 60 bits of them xored, 24 bits summed (equal rows cancel in the one but not in the other)."""
-    shown = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns]
+_PARTS = (F.count, "*", "rows"), (F.bit_xor, "h", "xor"), (F.sum, "p", "sum")
+
+
+def fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(*by, rows, xor, sum): a version of the table's content, or with `by` of each partition's other columns, that doesn't depend on the
+    order of rows or on files, from MD5 digests of the rows: 60 bits of them xored, 24 bits summed (equal rows cancel in the one
+    but not in the other)."""
+    shown = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns if c not in by]
     h = F.md5(F.concat_ws("|", *(F.concat(F.length(x).cast("string"), F.lit(":"), x) for x in shown)))
     whole, part = (F.conv(F.substring(h, at, n), 16, 10).cast("long") for at, n in ((1, 15), (17, 6)))
-    return df.select(whole.alias("h"), part.alias("p")).agg(F.count("*").alias("rows"), F.bit_xor("h").alias("xor"), F.sum("p").alias("sum"))
+    return df.select(*by, whole.alias("h"), part.alias("p")).groupBy(*by).agg(*(f(c).alias(to) for f, c, to in _PARTS))
+
+
+def combined_fingerprints(*parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The fingerprint of several tables together, from their own (rows, xor, sum), without reading any of them again: what files that are
+    added to a dataset or partition make of its fingerprint."""
+    every = reduce(DataFrame.unionByName, (p.select(*by, "rows", "xor", "sum") for p in parts))
+    return every.groupBy(*by).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.bit_xor("xor").alias("xor"), F.sum("sum").alias("sum"))
 
 
 def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
