@@ -30,7 +30,7 @@ LONGEST, LEAST, TOP = 4, 30, 2000
 COVERED = 80
 SCALE = 2_000_000
 #: Bytes of text cut into words at once; words of which a task counts pairs or windows before it hands them on.
-BLOCK, HELD = 1 << 21, 1 << 19
+BLOCK, HELD = 1 << 18, 1 << 17
 #: Bits of a filter: so many for each frequent key, within these bounds (32 MB at most). Where the upper one is reached, it
 #: prunes less, and the result is the same.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 28
