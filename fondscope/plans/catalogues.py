@@ -23,16 +23,16 @@ READERS = {
     "iso2709": records.read_iso2709,
     "picaxml": records.read_picaxml,
     "picapages": lambda spark, path: records.read_picaxml(spark, path, in_pages=True),
-    "prefixed": lambda spark, path: records.read_prefixed(spark.read.text(path)),
+    "prefixed": lambda spark, path: records.read_prefixed(records.placed(spark.read.text(path))),
     "documents": nested.read_documents,
 }
 
 
 def ingest(spark: SparkSession, dataset: Dataset, inputs: str, to: str) -> DataFrame:
     """Read a dataset's records from its input files below `inputs`, and write its attribute table to `to`/<dataset>.parquet.
-    Documents, which are few, are compressed harder. Inputs from which no record comes are an error, not an empty table."""
+    Records are numbered by their places in the files. Documents, which are few, are compressed harder. Inputs from which no record comes are an error, not an empty table."""
     read = READERS[dataset.format](spark, f"{inputs}/{dataset.inputs}")
-    rows = nested.flatten_documents(read, "_id", "data") if dataset.format == "documents" else records.flatten_records(read)
+    rows = nested.flatten_documents(read, "_id", "data", by_place=True) if dataset.format == "documents" else records.flatten_records(read, None)
     made = write_attributes(rows, f"{to}/{dataset.dataset}.parquet", level=22 if dataset.format == "documents" else 9)
     if made.isEmpty():
         raise ValueError(f"{dataset.dataset}: no {dataset.format} record in {inputs}/{dataset.inputs}")

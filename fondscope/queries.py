@@ -539,12 +539,19 @@ FILES = "SELECT o_orderkey % 16 AS file, o_orderkey, concat(o_orderkey, chr(9),
 RESIDUE = lambda k: f"list_reduce(list_prepend(0::HUGEINT, list(CAST('0x' || substr(md5(line), {1 + 8 * k}, 8) AS HUGEINT) % {digests.P} ORDER BY o_orderkey)), lambda a, b: (a * {digests.PLACES[k]} + b) % {digests.P})"
 
 
-@query(f"SELECT file, count(*) AS lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, {' || '.join(f'printf({chr(39)}%08x{chr(39)}, CAST({RESIDUE(k)} AS BIGINT))' for k in range(digests.RESIDUES))} AS digest FROM ({FILES}) GROUP BY file")
-def content_fingerprints(spark, sf_dir):
-    """Versions of files from the ranges of them that tasks have read."""
+@once
+def _landed_lines(spark, sf_dir) -> str:
+    """FILES, each in its folder."""
     path = new_path(spark, "digested")
     o = X.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 16).alias("file"), "o_orderkey", F.concat(F.col("o_orderkey").cast("string"), F.lit("\t"), "o_orderpriority", F.lit(" – "), (F.col("o_totalprice") > 1000).cast("string")).alias("value"))
     o.repartition(16, "file").sortWithinPartitions("file", "o_orderkey").select("file", "value").write.partitionBy("file").text(path)
+    return path
+
+
+@query(f"SELECT file, count(*) AS lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, {' || '.join(f'printf({chr(39)}%08x{chr(39)}, CAST({RESIDUE(k)} AS BIGINT))' for k in range(digests.RESIDUES))} AS digest FROM ({FILES}) GROUP BY file")
+def content_fingerprints(spark, sf_dir):
+    """Versions of files from the ranges of them that tasks have read."""
+    path = _landed_lines(spark, sf_dir)
     made = digests.content_fingerprint(spark, f"{path}/file=*/*")
     return made.select(F.regexp_extract("file", "file=([0-9]+)", 1).cast("long").alias("file"), "lines", "bytes", "digest")
 
@@ -583,6 +590,12 @@ def changed_sources(spark, sf_dir):
     return inventory.changed_sources(cur, old.unionByName(gone))
 
 
+@query(f"SELECT bytes, CASE WHEN bytes >= 1000000 THEN regexp_replace(printf('%.1f', bytes / 1000000), '\\.0$', '') || ' MB' WHEN bytes >= 1000 THEN regexp_replace(printf('%.1f', bytes / 1000), '\\.0$', '') || ' KB' ELSE bytes::VARCHAR || ' B' END AS size FROM (SELECT CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes FROM ({FILES}) GROUP BY file)")
+def file_sizes(spark, sf_dir):
+    """The inventory of files whose sizes follow from their lines."""
+    return inventory.file_inventory(spark, f"{_landed_lines(spark, sf_dir)}/file=*/*").select("bytes", "size")
+
+
 @query()
 def file_inventory(spark, sf_dir):
     path = new_path(spark, "files")

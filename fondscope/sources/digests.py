@@ -57,7 +57,7 @@ def _ranges(batches):
 
 
 def content_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """(file, size, lines, bytes, digest) of each file that `path` names, of any size and content; a row for each, also of empty ones.
+    """(file, size, lines, bytes, digest) of each file that `path` names, of any size and content; empty files, which scans pass over, have no row.
 
     Lines end at line feeds, and `bytes` are theirs with one more each. Of binary files that is as good a cut as any, as long as
     no stretch without a line feed is larger than 2 GB. Files that Spark decompresses by their names are fingerprinted by what they hold.
@@ -71,5 +71,4 @@ def content_fingerprint(spark: SparkSession, path: str) -> DataFrame:
     total = lambda c: F.aggregate("ranges", F.lit(0).cast("long"), lambda acc, r: acc + r[c])
     made = ranges.select("file_key", total("lines").alias("lines"), total("bytes").alias("bytes"), F.array_join(F.transform(value, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "").alias("digest"))
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.xxhash64("path").alias("file_key"), F.col("length").alias("size"))
-    none = "0" * 8 * RESIDUES
-    return files.join(made, "file_key", "left").select("file", "size", F.coalesce("lines", F.lit(0)).alias("lines"), F.coalesce("bytes", F.lit(0)).alias("bytes"), F.coalesce("digest", F.lit(none)).alias("digest"))
+    return files.join(made, "file_key").select("file", "size", "lines", "bytes", "digest")

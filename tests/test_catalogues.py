@@ -97,6 +97,18 @@ def test_numbers_by_place(spark, tmp_path):
     assert numbering.number_by_place(spark.createDataFrame([], "file string, block long, x int")).columns == ["file", "block", "x", "record_number"]
 
 
+def test_ingest_numbers_by_place(spark, tmp_path):
+    """Control numbers may be missing, repeated or out of order in every format."""
+    (tmp_path / "x.jsonl").write_text('{"_id": "b", "data": {"t": "1"}}\n\n{"_id": "a", "data": {"t": "2"}}\n')
+    (tmp_path / "y.jsonl").write_text('{"_id": "b", "data": {"t": "3"}}\n')
+    (tmp_path / "p.xml").write_text("".join(f'k\t<record><leader>{k}</leader><datafield tag="245"><subfield code="a">{k}</subfield></datafield></record>\n' for k in "291"))
+    of = {x.dataset: x for x in DATASETS}
+    made = catalogues.ingest(spark, of["istc"], str(tmp_path), str(tmp_path / "out"))
+    assert rows(made.filter("field_code = 't'").select("record_number", "value")) == [(1, "1"), (2, "2"), (3, "3")]
+    made = catalogues.ingest(spark, of["viaf"]._replace(inputs="p.xml"), str(tmp_path), str(tmp_path / "out"))
+    assert rows(made.filter("field_code = '245'").select("record_number", "value")) == [(1, "2"), (2, "9"), (3, "1")]
+
+
 def test_zstandard_files(spark, tmp_path):
     xml = '<collection xmlns="urn:x"><record><leader>L</leader><controlfield tag="001">1</controlfield></record><record><leader>M</leader><controlfield tag="001">2</controlfield></record></collection>'
     (tmp_path / "f.mrcx.zst").write_bytes(zstandard.compress(xml.encode()))
@@ -179,8 +191,7 @@ def test_file_versions_do_not_depend_on_ranges(spark, tmp_path):
     data = {"a.bin": rng.randbytes(60_000), "b.txt": b"one\r\ntwo\n\nthree", "c.txt": b"\n" * 50, "d.txt": b"", "e.txt": b"no end"}
     for name, content in data.items():
         (tmp_path / name).write_bytes(content)
-    want = {name: (len(x), *plain_digest(x)) for name, x in data.items()}
-    seen = set()
+    want = {name: (len(x), *plain_digest(x)) for name, x in data.items() if x}
     for size in ("128m", "5000b", "301b"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.set("spark.sql.files.openCostInBytes", "1b")
@@ -190,10 +201,9 @@ def test_file_versions_do_not_depend_on_ranges(spark, tmp_path):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
             spark.conf.unset("spark.sql.files.openCostInBytes")
         assert got == want
-        seen.add(str(got))
     (tmp_path / "b.txt").write_bytes(b"two\none\r\n\nthree")
     changed = {os.path.basename(r.file): r.digest for r in digests.content_fingerprint(spark, str(tmp_path)).collect()}
-    assert len(seen) == 1 and {k for k in changed if changed[k] != want[k][3]} == {"b.txt"}
+    assert {k for k in changed if changed[k] != want[k][3]} == {"b.txt"}
 
 
 def test_fingerprints_are_put_together(spark):
@@ -239,7 +249,7 @@ def test_reports_by_the_registry(spark, tmp_path):
     files = catalogues.dataset_dates(spark, f"{tmp_path}/in", [of["vd17"], of["plnb"]])
     assert rows(files) == [("plnb", ""), ("vd17", "")]
     (tmp_path / "in/vd17").mkdir()
-    (tmp_path / "in/vd17/1.xml.gz").write_bytes(b"")
+    (tmp_path / "in/vd17/1.xml.gz").write_bytes(b"x")
     os.utime(tmp_path / "in/vd17/1.xml.gz", (1_700_000_000, 1_700_000_000))
     assert rows(catalogues.dataset_dates(spark, f"{tmp_path}/in", [of["vd17"]])) == [("vd17", "2023-11-14")]
 
@@ -250,8 +260,8 @@ def test_exact_quantiles(spark):
     for values in ([rng.gauss(0, 1) for _ in range(3000)], [rng.choice([1.0, 2.0, 2.5]) for _ in range(2000)], [10.0 ** rng.randint(-300, 300) * rng.random() for _ in range(2000)], [-inf, *range(30), inf], [4.0], [-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324] * 9):
         data = sorted(map(float, values))
         for most in (10, 1 << 20):
-            got = usage.order_statistics(spark.createDataFrame([(float(v),) for v in values], "x double"), list(range(0, len(data), 37)) + [len(data) - 1], most)
-            assert got == {k: data[k] for k in [*range(0, len(data), 37), len(data) - 1]}
+            got = usage.order_statistics(spark.createDataFrame([(float(v),) for v in values], "x double"), [*range(0, len(data), 397), len(data) - 1], most)
+            assert got == {k: data[k] for k in [*range(0, len(data), 397), len(data) - 1]}
     d = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (None,), (float("nan"),)], "x double")
     assert usage.quantiles(d, "x", [0, 0.25, 0.5, 1]) == [1.0, 1.5, 2.0, 4.0] and usage.quantiles(d.filter("x is null"), "x", [0.5]) == [None]
     assert [r["class"] for r in usage.quantile_class(d.filter("x < 9"), "x", 2).orderBy("x").collect()] == [1, 2, 2]
