@@ -103,9 +103,9 @@ def test_ingest_numbers_by_place(spark, tmp_path):
     (tmp_path / "y.jsonl").write_text('{"_id": "b", "data": {"t": "3"}}\n')
     (tmp_path / "p.xml").write_text("".join(f'k\t<record><leader>{k}</leader><datafield tag="245"><subfield code="a">{k}</subfield></datafield></record>\n' for k in "291"))
     of = {x.dataset: x for x in DATASETS}
-    made = catalogues.ingest(spark, of["istc"], str(tmp_path), str(tmp_path / "out"))
+    made = catalogues.ingest(spark, of["istc"], str(tmp_path), str(tmp_path / "out"), by_place=True)
     assert rows(made.filter("field_code = 't'").select("record_number", "value")) == [(1, "1"), (2, "2"), (3, "3")]
-    made = catalogues.ingest(spark, of["viaf"]._replace(inputs="p.xml"), str(tmp_path), str(tmp_path / "out"))
+    made = catalogues.ingest(spark, of["viaf"]._replace(inputs="p.xml"), str(tmp_path), str(tmp_path / "out"), by_place=True)
     assert rows(made.filter("field_code = '245'").select("record_number", "value")) == [(1, "2"), (2, "9"), (3, "1")]
 
 
