@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..schema import DATASETS, Dataset, registry
 from ..sources import nested, records
-from ..sources.attributes import exists, read_attributes, write_attributes
+from ..sources.attributes import exists, parts_of, read_attributes, write_attributes
 from ..sources.dimensions import FIELDS, SUBFIELDS, read_descriptions
-from ..sources.inventory import dataset_date, modification_times
+from ..sources.inventory import dataset_date, file_inventory, modification_times
 from .composition import composition, years_within
 
 BY = ("dataset",)
@@ -81,10 +81,11 @@ def dataset_dates(spark: SparkSession, inputs: str, datasets: Iterable[Dataset]
 
 def report(spark: SparkSession, folder: str, descriptions: str, dim: DataFrame, datasets: Iterable[Dataset] = DATASETS, inputs: str | None = None) -> dict[str, DataFrame]:
     """The reports of datasets, whose attribute tables lie in `folder`, in the same jobs: as the registry says, each with its own
-    descriptions (from the folder `descriptions`), range of years and, if `inputs` is given, date. `datasets` has their names."""
+    descriptions (from the folder `descriptions`), range of years and, if `inputs` is given, date. `datasets` has their names, `files` the sizes of their parts."""
     datasets = list(datasets)
     d = read_datasets(spark, folder, [x.dataset for x in datasets])
     fdesc, sdesc = read_all_descriptions(spark, descriptions, datasets)
     about = spark.createDataFrame(datasets, registry(spark).schema).select("dataset", "name", "min_year", "max_year")
     names = about.join(dataset_dates(spark, inputs, datasets), "dataset", "left") if inputs else about
-    return {"datasets": names.orderBy("dataset"), **composition(d, dim, fdesc, sdesc, by=BY, ranges=about)}
+    files = reduce(DataFrame.unionByName, (file_inventory(spark, parts_of(spark, f"{folder}/{x.dataset}.parquet")).withColumn("dataset", F.lit(x.dataset)) for x in datasets))
+    return {"datasets": names.orderBy("dataset"), "files": files.select("dataset", "file", "bytes", "size").orderBy("dataset", "file"), **composition(d, dim, fdesc, sdesc, by=BY, ranges=about)}

@@ -539,6 +539,21 @@ FILES = "SELECT o_orderkey % 16 AS file, o_orderkey, concat(o_orderkey, chr(9),
 RESIDUE = lambda k: f"list_reduce(list_prepend(0::HUGEINT, list(CAST('0x' || substr(md5(line), {1 + 8 * k}, 8) AS HUGEINT) % {digests.P} ORDER BY o_orderkey)), lambda a, b: (a * {digests.PLACES[k]} + b) % {digests.P})"
 
 
+STREAM = "SELECT CAST(o_custkey AS VARCHAR) AS record_id, strftime(o_orderdate, '%Y-%m-%d') || '#' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS datestamp, CASE WHEN o_orderkey % 7 = 0 THEN 'deleted' END AS status, o_totalprice AS n FROM orders"
+
+
+@query(f"SELECT record_id, datestamp, n FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY datestamp DESC) AS k FROM ({STREAM})) WHERE k = 1 AND status IS NULL")
+def harvest_stream(spark, sf_dir):
+    """Windows that land as files, merged into a table as a stream: each record's newest version, if that isn't a deletion."""
+    o, landed, path = X.table(spark, sf_dir, "orders"), new_path(spark, "windows"), new_path(spark, "harvested")
+    stamp = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("#"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+    df = o.select(F.col("o_custkey").cast("string").alias("record_id"), stamp.alias("datestamp"), F.when(F.col("o_orderkey") % 7 == 0, F.lit(merge.DELETED)).alias("status"), F.col("o_totalprice").alias("n"))
+    df.repartition(6, "datestamp").write.parquet(landed)
+    merge.create_table(df.limit(0), path, buckets=8)
+    merge.merge_stream(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(landed), path, new_path(spark, "merging"))
+    return merge.read_table(spark, path).drop("status")
+
+
 @once
 def _landed_lines(spark, sf_dir) -> str:
     """FILES, each in its folder."""

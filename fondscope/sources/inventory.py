@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import size_text
 
 
-def file_inventory(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+def file_inventory(spark: SparkSession, path: str | list[str], kind: str = "parquet") -> DataFrame:
     """(file, bytes, size) of a dataset's files in order of their names without `.parquet`."""
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
     name = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.parquet\z", "")

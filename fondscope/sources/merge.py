@@ -98,3 +98,31 @@ def merge_window(window: DataFrame, path: str) -> set[str]:
     folders = _write(best, path, key, buckets)
     _publish(spark, path, version + 1, content | {"folders": content["folders"] | folders})
     return touched
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Remove manifests but the newest `keep`, and the folders that none of those names: what older versions held, and what failed merges
+    left. Returns how many folders went. Not to be run beside a merge or a reader of an older version."""
+    fs = _fs(spark, path)
+    found = sorted((s.getPath() for s in fs.globStatus(_path(spark, f"{path}/manifest-*.json")) or []), key=lambda p: p.getName())
+    used = {f for p in found[-keep:] for f in json.loads(spark.read.option("wholetext", True).text(p.toString()).first().value)["folders"].values()}
+    gone = 0
+    for status in fs.globStatus(_path(spark, f"{path}/data-*/bucket=*")) or []:
+        at = status.getPath()
+        if f"{at.getParent().getName()}/{at.getName()}" not in used:
+            gone += bool(fs.delete(at, True))
+    for old in found[:-keep]:
+        fs.delete(old, False)
+    for draft in fs.globStatus(_path(spark, f"{path}/_draft-*")) or []:
+        fs.delete(draft.getPath(), False)
+    return gone
+
+
+def merge_stream(windows: DataFrame, path: str, checkpoint: str) -> None:
+    """Merge a stream of harvested records, batch by batch, until all that has landed is in the table. A batch that is tried again after
+    a failure is merged again, which changes nothing, so each record's newest version is there once."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        merge_window(batch, path)
+
+    windows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(merge).start().awaitTermination()

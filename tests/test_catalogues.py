@@ -167,6 +167,8 @@ def test_merges(spark, tmp_path, monkeypatch):
     merge.merge_window(df(("2", "2000", None, 2)), path)  # older than its deletion
     assert live() == want and merge.read_table(spark, path, deleted=True).count() == len(want) + 1
     assert merge.merge_window(df(), path) == set()
+    assert merge.vacuum(spark, path, keep=1) > 0 and live() == want and not before <= files_of(path)
+    assert merge.vacuum(spark, path) == 0 and merge.merge_window(window, path) and live() == want
     version, content = merge.manifest(spark, path)
     with pytest.raises(RuntimeError):
         merge._publish(spark, path, version, content)  # as another merge has done
@@ -246,6 +248,7 @@ def test_reports_by_the_registry(spark, tmp_path):
     assert rows(made["years"]) == [("cnb", 1500, 1), ("estc", 1520, 1), ("hpb", 1510, 1)] and rows(made["without_year"]) == [("cnb", 1), ("estc", 1), ("hpb", 1)]
     assert rows(made["fields"].filter("field_code = '700'").select("dataset", "field_description", "records", "r_p")) == [("cnb", "of marc", 1, 0.5), ("estc", "of marc", 1, 0.5), ("hpb", "of pica", 1, 0.5)]
     assert rows(made["totals"]) == [("cnb", 2, 3), ("estc", 2, 3), ("hpb", 2, 3)] and rows(made["codes"]) == [("cnb", 3, 3), ("estc", 3, 3), ("hpb", 3, 3)]
+    assert {(r.dataset, r.file[:8]) for r in made["files"].collect()} == {(k, "part-000") for k in ("cnb", "hpb", "estc")} and made["files"].filter("bytes > 0").count() >= 3
     files = catalogues.dataset_dates(spark, f"{tmp_path}/in", [of["vd17"], of["plnb"]])
     assert rows(files) == [("plnb", ""), ("vd17", "")]
     (tmp_path / "in/vd17").mkdir()
