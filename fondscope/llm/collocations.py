@@ -5,14 +5,14 @@ lead columns are the word array shifted within the task that has read the text,
 ROLLUP over (lang, w1, ..., w4) then gives every shorter phrase's count as the sum of the windows that begin with it, and the
 count of all words of a language.
 
-A phrase can't be more frequent than its words and pairs, so a window may end early where one of these is too rare, and the rare
-windows, which are nearly all different, collapse. Which words and pairs are frequent is told by bitmaps over hashes, of bounded size,
-that let too much through but never too little.
+A phrase can't be more frequent than its parts, so a window may end early where a word, pair or triple in it is too rare, and the rare
+windows, which are nearly all different, collapse. Which of these are frequent is told by bitmaps over hashes, of bounded size,
+that let too much through but never too little: phrases' counts come from the windows alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -41,6 +41,8 @@ _PAIR = _U(0xE7037ED1A0B428DB)
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[0x09, 0x20]] = 1
 _CLASS[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
+#: Filters of words, pairs and triples, or the first of these.
+Filters = Sequence[np.ndarray]
 WINDOW = [f"w{k + 1}" for k in range(LONGEST)]
 
 
@@ -116,19 +118,28 @@ def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(a + mixed(b) * _PAIR)
 
 
-def windows(h: np.ndarray, piece: np.ndarray, words: np.ndarray | None, pairs: np.ndarray | None) -> np.ndarray:
-    """For each word the window that begins with it, a row of LONGEST hashes; 0 pads it from the piece's end, or from a word or pair on
-    that is too rare."""
-    kept = has(words, h)
-    on = kept[:-1] & kept[1:] & (piece[:-1] == piece[1:])
-    on[on] = has(pairs, pair_keys(h[:-1][on], h[1:][on]))
+def passing(h: np.ndarray, piece: np.ndarray, filters: Filters, longest: int = LONGEST) -> tuple[list[np.ndarray], np.ndarray]:
+    """For 1 to `longest` words, whether so many from each place on lie in one piece and pass the filters (of words, of pairs, and so on; what
+    has none passes if its parts do); and the keys of the longest."""
+    key, on = h, has(filters[0] if filters else None, h)
+    out = [on]
+    for m in range(2, longest + 1):
+        on = on[:-1] & on[1:]
+        if m == 2:
+            on &= piece[:-1] == piece[1:]
+        key = pair_keys(key[:-1], h[m - 1 :])
+        if m <= len(filters):
+            on[on] = has(filters[m - 1], key[on])
+        out.append(on)
+    return out, key
+
+
+def windows(h: np.ndarray, piece: np.ndarray, filters: Filters) -> np.ndarray:
+    """For each word the window that begins with it, a row of LONGEST hashes; 0 pads it from the piece's end on, or from where words, pairs or
+    triples are too rare."""
     out = np.zeros((len(h), LONGEST), _U)
-    out[:, 0] = np.where(kept, h, 0)
-    for k in range(1, LONGEST):
-        reach = on[k - 1 :].copy()
-        for back in range(k - 1):
-            reach &= on[back : back + len(reach)]
-        out[: len(reach), k] = np.where(reach, h[k:], 0)
+    for k, on in enumerate(passing(h, piece, filters)[0]):
+        out[: len(on), k] = np.where(on, h[k:], 0)
     return out
 
 
@@ -177,19 +188,19 @@ def _runs(batches: Iterator[pa.RecordBatch], langs: Langs) -> Iterator[tuple[np.
         yield h, p, g, len(h)
 
 
-def _pairs_of(batches: Iterator[pa.RecordBatch], salt: int, words: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _grams_of(batches: Iterator[pa.RecordBatch], salt: int, *filters: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Keys of all runs of one word more than there are filters, whose parts pass these, and their counts so far."""
+    m = len(filters) + 1
     for h, piece, _, new in _runs(batches, Langs(salt)):
-        h, piece = h[: new + 1], piece[: new + 1]
-        kept = has(words, h)
-        on = kept[:-1] & kept[1:] & (piece[:-1] == piece[1:])
-        keys, n = np.unique(pair_keys(h[:-1][on], h[1:][on]), return_counts=True)
+        on, key = passing(h[: new + m - 1], piece[: new + m - 1], filters, m)
+        keys, n = np.unique(key[on[-1]], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
-def _windows_of(batches: Iterator[pa.RecordBatch], salt: int, words: np.ndarray | None, pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _windows_of(batches: Iterator[pa.RecordBatch], salt: int, *filters: np.ndarray) -> Iterator[pa.RecordBatch]:
     langs = Langs(salt)
     for h, piece, lang, new in _runs(batches, langs):
-        w = windows(h, piece, words, pairs)[:new]
+        w = windows(h, piece, filters)[:new]
         rows, n = distinct([lang[:new], *w.T])
         yield pa.RecordBatch.from_arrays([langs.column(lang[rows]), *(pa.array(w[rows, k].view(np.int64)) for k in range(LONGEST)), pa.array(n.astype(np.int64))], ["lang", *WINDOW, "n"])
 
@@ -221,11 +232,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
         each = texts.mapInArrow(_bound(_words_of, salt), "lang string, h long, word string, n long")
         total = each.groupBy("lang", "h").agg(F.sum("n").alias("n"), F.min("word").alias("word"), (F.min("word") != F.max("word")).alias("clash"))
         words = written(total.filter(F.col("n") >= least), "words")
-    frequent = spark.sparkContext.broadcast(bitmap(words.select("h")))
-    pairs = texts.mapInArrow(_bound(_pairs_of, salt, frequent), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    pairs = written(pairs.filter(F.col("n") >= least).select("h"), "pairs")
-    linked = spark.sparkContext.broadcast(bitmap(pairs))
-    longest = texts.mapInArrow(_bound(_windows_of, salt, frequent, linked), f"lang string, {', '.join(f'{c} long' for c in WINDOW)}, n long")
+    filters = [spark.sparkContext.broadcast(bitmap(words.select("h")))]
+    for m in range(2, LONGEST):
+        grams = texts.mapInArrow(_bound(_grams_of, salt, *filters), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        filters.append(spark.sparkContext.broadcast(bitmap(written(grams.filter(F.col("n") >= least).select("h"), f"grams-{m}"))))
+    longest = texts.mapInArrow(_bound(_windows_of, salt, *filters), f"lang string, {', '.join(f'{c} long' for c in WINDOW)}, n long")
     rolled = longest.rollup("lang", *WINDOW).agg(F.sum("n").alias("f")).filter("lang is not null")
     phrases = rolled.select("lang", F.array_compact(F.array(*WINDOW)).alias("w"), "f")
     kept = (F.size("w") == 0) | ((F.try_element_at("w", F.lit(-1)) != 0) & (F.col("f") >= least))

@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -70,18 +71,40 @@ def test_windows_across_blocks(monkeypatch, held):
         for lang, h, word in zip(*(b.column(c).to_pylist() for c in ("lang", "h", "word")), strict=True):
             assert names.setdefault(h, (lang, word)) == (lang, word)
     got = Counter()
-    for b in C._windows_of(iter(batches), 1, None, None):
+    for b in C._windows_of(iter(batches), 1):
         for lang, *w, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
             key = (lang, *(names[h][1] for h in w if h))
             for k in range(2, len(key) + 1):
                 got[key[:k]] += n
     assert got == counted(texts)
-    pairs = Counter()
-    import numpy as np
-
-    for b in C._pairs_of(iter(batches), 1, np.full(8, 255, np.uint8)):
-        pairs.update(dict(zip(*(c.to_pylist() for c in b.columns), strict=True)))
-    assert sorted(pairs.values()) == sorted(n for key, n in counted(texts).items() if len(key) == 3)
+    for m in (2, 3):
+        grams = Counter()
+        for b in C._grams_of(iter(batches), 1, *[np.full(8, 255, np.uint8)] * (m - 1)):
+            for h, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                grams[h] += n
+        assert sorted(grams.values()) == sorted(n for key, n in counted(texts).items() if len(key) == m + 1)
+
+
+def test_filters_end_windows():
+    """A word, pair or triple that a filter stops ends the window before its last word; all else stays."""
+    h = np.arange(1, 7, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    piece = np.array([1, 1, 1, 1, 1, 2])
+
+    def stopping(key):
+        bits = np.full(1 << 12, 255, np.uint8)
+        place = int(key) & (8 * len(bits) - 1)
+        bits[place >> 3] ^= np.uint8(1 << (place & 7))
+        return bits
+
+    def lengths(*filters):
+        return [int((row != 0).sum()) for row in C.windows(h, piece, filters)]
+
+    every = np.full(1 << 12, 255, np.uint8)
+    pair = C.pair_keys(h[:-1], h[1:])
+    assert lengths() == lengths(every, every, every) == [4, 4, 3, 2, 1, 1]
+    assert lengths(stopping(h[2])) == [2, 1, 0, 2, 1, 1]
+    assert lengths(every, stopping(pair[1])) == [2, 1, 3, 2, 1, 1]
+    assert lengths(every, every, stopping(C.pair_keys(pair[:-1], h[2:])[1])) == [3, 2, 3, 2, 1, 1]
 
 
 def test_scores_pass_64_bits(spark):
