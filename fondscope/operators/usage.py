@@ -1,7 +1,7 @@
 """How often fields and subfields are used.
 
-`usage_levels` counts all of it in one pass: rows are dealt by record once, and each record then gives a row for itself, for each of
-its fields and for each of its pairs of codes. What is asked of a dataset, its fields or subfields are rows of that small table.
+`usage_levels` counts all of it in one pass: rows are dealt by record once, and each counts for its record, for its field and for its
+pair of codes there. What is asked of a dataset, its fields or subfields are rows of that small table.
 """
 
 from __future__ import annotations
@@ -19,27 +19,27 @@ FIELD, SUBFIELD = ("field_code",), ("field_code", "subfield_code")
 DATASETS, FIELDS, SUBFIELDS = 0, 1, 2
 
 
-def record_codes(d: DataFrame, by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
-    """(*by, record_number, field_code, subfield_code, n): one exchange by record, which serves every later grouping by record; none if
-    the rows already lie by record (`dealt`, as in a table of `write_bucketed`)."""
+def _by_record(d: DataFrame, by: Sequence[str], dealt: bool) -> DataFrame:
+    """The columns that usage needs, each record's rows in one partition; they are so already if `dealt`, as in a table of
+    `write_bucketed`."""
     base = d.select(*by, "record_number", *SUBFIELD)
-    base = base if dealt else base.repartition(*by, "record_number")
-    return base.groupBy(*by, "record_number", *SUBFIELD).agg(F.count("*").alias("n"))
+    return base if dealt else base.repartition(*by, "record_number")
+
+
+def record_codes(d: DataFrame, by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
+    """(*by, record_number, field_code, subfield_code, n): one exchange by record, which serves every later grouping by record."""
+    return _by_record(d, by, dealt).groupBy(*by, "record_number", *SUBFIELD).agg(F.count("*").alias("n"))
 
 
 def usage_levels(d: DataFrame, by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
     """(*by, level, field_code, subfield_code, records, n, recs_with_mult_vals): how many records have it, its rows, and how many records
     have more than one; a row for each of `by`, for each of its fields and for each of its pairs of codes."""
-    codes = record_codes(d, by, dealt)
-    fields = codes.groupBy(*by, "record_number", "field_code").agg(F.sum("n").alias("n"), F.collect_list(F.struct("subfield_code", "n")).alias("subs"))
-    records = fields.groupBy(*by, "record_number").agg(F.sum("n").alias("n"), F.collect_list(F.struct("field_code", "n", "subs")).alias("fields"))
-    unit = lambda level, field, sub, n: F.struct(F.lit(level).alias("level"), field.alias("field_code"), sub.alias("subfield_code"), n.alias("n"))
-    none = F.lit(None).cast("string")
-    whole = F.array(unit(DATASETS, none, none, F.col("n")))
-    each = F.transform("fields", lambda f: unit(FIELDS, f["field_code"], none, f["n"]))
-    pairs = F.flatten(F.transform("fields", lambda f: F.transform(f["subs"], lambda s: unit(SUBFIELDS, f["field_code"], s["subfield_code"], s["n"]))))
-    rows = records.select(*by, F.col("record_number").isNotNull().alias("known"), F.inline(F.concat(whole, each, pairs)))
-    counted = F.when(F.col("level") == DATASETS, F.count_if("known")).otherwise(F.count("*"))
+    unit = lambda level, field, sub: F.struct(F.lit(level).alias("level"), field.alias("field_code"), sub.alias("subfield_code"))
+    none, field, sub = F.lit(None).cast("string"), F.col("field_code"), F.col("subfield_code")
+    levels = F.inline(F.array(unit(DATASETS, none, none), unit(FIELDS, field, none), unit(SUBFIELDS, field, sub)))
+    rows = _by_record(d, by, dealt).select(*by, "record_number", levels)
+    rows = rows.groupBy(*by, "record_number", "level", *SUBFIELD).agg(F.count("*").alias("n"))
+    counted = F.when(F.col("level") == DATASETS, F.count("record_number")).otherwise(F.count("*"))
     return rows.groupBy(*by, "level", *SUBFIELD).agg(counted.alias("records"), F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("recs_with_mult_vals"))
 
 
