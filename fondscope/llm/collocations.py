@@ -237,9 +237,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
         grams = texts.mapInArrow(_bound(_grams_of, salt, *filters), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
         filters.append(spark.sparkContext.broadcast(bitmap(written(grams.filter(F.col("n") >= least).select("h"), f"grams-{m}"))))
     longest = texts.mapInArrow(_bound(_windows_of, salt, *filters), f"lang string, {', '.join(f'{c} long' for c in WINDOW)}, n long")
-    rolled = longest.rollup("lang", *WINDOW).agg(F.sum("n").alias("f")).filter("lang is not null")
+    rolled = longest.rollup("lang", *WINDOW).agg(F.sum("n").alias("f"))
+    rolled = rolled.filter(F.col("lang").isNotNull() & (F.coalesce(*reversed(WINDOW), F.lit(1)) != 0))  # prefixes that end in padding: Catalyst drops them before they are counted
     phrases = rolled.select("lang", F.array_compact(F.array(*WINDOW)).alias("w"), "f")
-    kept = (F.size("w") == 0) | ((F.try_element_at("w", F.lit(-1)) != 0) & (F.col("f") >= least))
+    kept = (F.size("w") == 0) | (F.col("f") >= least)
     return written(phrases.filter(kept), "phrases"), words.select("lang", "h", "word")
 
 
