@@ -22,7 +22,7 @@ BUCKETS, STEP = 1 << 12, 1 << 17
 TABLE_BLOCK = 1 << 20
 ORDERS = 3
 #: Places in a piece of a text that is judged as one, at least and usually; labelled pieces that a language's bound needs.
-SHORT_PIECE, PIECE, ENOUGH = 16, 64, 8
+SHORT_PIECE, PIECE, ENOUGH = 16, 64, 32
 
 # Families of language codes; a code that isn't listed is a family of its own.
 FAMILIES = {

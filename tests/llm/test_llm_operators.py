@@ -504,14 +504,14 @@ def test_texts_without_a_learned_language_go(spark):
 
 
 def test_few_and_rare_labels_neither_drop_the_table_nor_let_all_through(spark):
-    """With 0, 1, 7 and 8 labelled pieces of one language, and with one rare language beside others."""
+    """With 0, 1, 7 and 8 short labelled texts of one language, and with one rare language beside others."""
     schema = "doc_id long, text string, lang string"
     odd_ones = [k for k in range(1, 200) if zlib.crc32(str(k).encode()) % 3 != 1]
     piece = "the old mill stands by the river where seven boats lie in the evening sun".split()
     for n in (0, 1, 7, 8):
         made = [(odd_ones[k], " ".join(piece[k % 5 :] + piece[: k % 5])[:40], "en") for k in range(n)] + [(500, "a clean sentence about the river and the mill", None), (501, "12 !", None)]
         kept = {r.doc_id for r in language.accepted(spark.createDataFrame(made, schema)).collect()}
-        assert {d for d, _, k in made if k} <= kept and 501 not in kept and (500 in kept or n >= 8)
+        assert {d for d, _, k in made if k} <= kept and 501 not in kept and 500 in kept
     rng = random.Random(9)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*schema.replace(" long", "").replace(" string", "").split(", "))
     clean = {r.doc_id for r in docs.collect()}
