@@ -14,16 +14,19 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workspace import partitions_for
+
 FIELD, SUBFIELD = ("field_code",), ("field_code", "subfield_code")
 #: Levels of `usage_levels`: datasets, fields, subfields.
 DATASETS, FIELDS, SUBFIELDS = 0, 1, 2
 
 
-def _by_record(d: DataFrame, by: Sequence[str], dealt: bool) -> DataFrame:
+def _by_record(d: DataFrame, by: Sequence[str], dealt: bool, rows: int | None = None) -> DataFrame:
     """The columns that usage needs, each record's rows in one partition; they are so already if `dealt`, as in a table of
-    `write_bucketed`."""
+    `write_bucketed`. There are as many partitions as the rows ask for, which are counted unless `rows` (at most so many) is given; so no task's hash
+    table grows with the table."""
     base = d.select(*by, "record_number", *SUBFIELD)
-    return base if dealt else base.repartition(*by, "record_number")
+    return base if dealt else base.repartition(partitions_for(d.sparkSession, d.count() if rows is None else rows), *by, "record_number")
 
 
 def record_codes(d: DataFrame, by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
@@ -31,16 +34,16 @@ def record_codes(d: DataFrame, by: Sequence[str] = (), dealt: bool = False) -> D
     return _by_record(d, by, dealt).groupBy(*by, "record_number", *SUBFIELD).agg(F.count("*").alias("n"))
 
 
-def usage_levels(d: DataFrame, by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
+def usage_levels(d: DataFrame, by: Sequence[str] = (), dealt: bool = False, rows: int | None = None) -> DataFrame:
     """(*by, level, field_code, subfield_code, records, n, recs_with_mult_vals): how many records have it, its rows, and how many records
     have more than one; a row for each of `by`, for each of its fields and for each of its pairs of codes."""
     unit = lambda level, field, sub: F.struct(F.lit(level).alias("level"), field.alias("field_code"), sub.alias("subfield_code"))
     none, field, sub = F.lit(None).cast("string"), F.col("field_code"), F.col("subfield_code")
     levels = F.inline(F.array(unit(DATASETS, none, none), unit(FIELDS, field, none), unit(SUBFIELDS, field, sub)))
-    rows = _by_record(d, by, dealt).select(*by, "record_number", levels)
-    rows = rows.groupBy(*by, "record_number", "level", *SUBFIELD).agg(F.count("*").alias("n"))
+    units = _by_record(d, by, dealt, rows).select(*by, "record_number", levels)
+    units = units.groupBy(*by, "record_number", "level", *SUBFIELD).agg(F.count("*").alias("n"))
     counted = F.when(F.col("level") == DATASETS, F.count("record_number")).otherwise(F.count("*"))
-    return rows.groupBy(*by, "level", *SUBFIELD).agg(counted.alias("records"), F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("recs_with_mult_vals"))
+    return units.groupBy(*by, "level", *SUBFIELD).agg(counted.alias("records"), F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("recs_with_mult_vals"))
 
 
 def dataset_totals(d: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -64,15 +67,17 @@ def usage_of(levels: DataFrame, level: int, by: Sequence[str] = ()) -> DataFrame
     return both.select(*by, *(FIELD if level == FIELDS else SUBFIELD), "records", (F.col("records") / F.col("n_records")).alias("r_p"), "n", (F.col("n") / F.col("records")).alias("vals_per_rec"), "recs_with_mult_vals")
 
 
-def field_usage(d: DataFrame, unit: str = "row", by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
+def field_usage(d: DataFrame, unit: str = "row", by: Sequence[str] = (), dealt: bool = False, rows: int | None = None) -> DataFrame:
     """(*by, field_code, records, r_p, n, vals_per_rec, recs_with_mult_vals).
 
     records: that have the field; r_p: their share of all records; n: its rows; recs_with_mult_vals: records with more than one.
-    With unit='row' a field of three subfields counts three times; with unit='occurrence' once.
+    With unit='row' a field of three subfields counts three times; with unit='occurrence' once. `rows`: at most so many, if that is known.
     """
     if unit == "occurrence":
-        d = d.select(*by, "record_number", "field_code", F.lit("").alias("subfield_code"), "field_number").distinct()
-    return usage_of(usage_levels(d, by, dealt), FIELDS, by)
+        n = partitions_for(d.sparkSession, d.count() if rows is None else rows)
+        d = d.select(*by, "record_number", "field_code", F.lit("").alias("subfield_code"), "field_number")
+        d, dealt = (d if dealt else d.repartition(n, *by, "record_number")).distinct(), True  # by record already: no other exchange
+    return usage_of(usage_levels(d, by, dealt, rows), FIELDS, by)
 
 
 def value_counts(d: DataFrame, by: Sequence[str] = ()) -> DataFrame:
