@@ -345,25 +345,24 @@ def languages(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """`docs` without the rows that have no language: no letter, or text that is unusual for all learned languages.
+    """`docs` without the rows that have no language: no letter, or text that is unusual for the language that is predicted for it.
 
     A text is cut into pieces; one is an outlier if its letter triples are less likely than those of almost all labelled pieces
-    (`usual` sets the bound). Texts that have in no language a quarter of other pieces go: gibberish and languages that nobody labelled.
-    Where no row has a `lang` to learn from, or no language has enough labelled pieces to tell what is usual, only a letter is asked for.
-    Rows and columns are otherwise as they were; null texts go.
+    (`usual` sets the bound). Texts that have in the predicted language no quarter of other pieces go: gibberish, languages that nobody
+    labelled, and what is taken for a language that it isn't like. Where no row has a `lang` to learn from, or no language has enough
+    labelled pieces to tell what is usual, only a letter is asked for. Rows and columns are otherwise as they were; null texts go.
     """
     model = learned(docs)
-    bounded = [i for i in range(len(model.languages)) if np.isfinite(model.spread[i])]
-    order = {k: sorted(bounded, key=lambda i: model.languages[i] != k) for k in model.languages}  # the predicted one first
+    number = {k: i for i, k in enumerate(model.languages)}
     names = docs.columns
     small_batches(docs.sparkSession)
 
     def keep(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            if bounded:
+            if number:
                 lang, _ = predicted(texts, model)
-                kept = [k != UNKNOWN and any(is_usual(t, i, model) for i in order[k]) for k, t in zip(lang, texts, strict=True)]
+                kept = [k != UNKNOWN and (not np.isfinite(model.spread[number[k]]) or is_usual(t, number[k], model)) for k, t in zip(lang, texts, strict=True)]
             else:
                 kept = [any(c.isalpha() for c in t or "") for t in texts]
             yield batch.filter(pa.array(kept, pa.bool_()))

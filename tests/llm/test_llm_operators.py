@@ -503,6 +503,23 @@ def test_texts_without_a_learned_language_go(spark):
     assert clean <= kept and held <= kept
 
 
+def test_the_predicted_language_decides_what_is_usual(spark, monkeypatch):
+    """A text is judged by the language that is predicted for it, so the prediction has an effect on what follows."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.learned(docs)
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.orderBy("doc_id").limit(200).collect()]
+    lang, _ = language.predicted([t for _, t, _ in rows], model)
+    want = {d for (d, t, _), k in zip(rows, lang, strict=True) if language.is_usual(t, model.languages.index(k), model)}
+    some = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language, "learned", lambda _: model)
+    assert {r.doc_id for r in language.accepted(some).collect()} == want == {d for d, _, _ in rows}
+    turned = model._replace(weights=-model.weights, bias=-model.bias)  # predicts other languages
+    wrong, _ = language.predicted([t for _, t, _ in rows], turned)
+    monkeypatch.setattr(language, "learned", lambda _: turned)
+    kept = {r.doc_id for r in language.accepted(some).collect()}
+    assert kept == {d for (d, t, _), k in zip(rows, wrong, strict=True) if language.is_usual(t, model.languages.index(k), model)} and len(kept) < len(rows) / 2
+
+
 def test_few_and_rare_labels_neither_drop_the_table_nor_let_all_through(spark):
     """With 0, 1, 7 and 8 short labelled texts of one language, and with one rare language beside others."""
     schema = "doc_id long, text string, lang string"
