@@ -8,6 +8,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
+from bench import shuffled
 from pyspark.sql import functions as F
 
 from fondscope.llm import common
@@ -434,6 +435,18 @@ def test_search_in_many_tasks(spark, docs, rows, monkeypatch):
     assert sorted(got[-1]) == sorted(d for q in (texts[0][0], texts[1][0]) for d, _ in want[q])
 
 
+def test_search_sends_documents_and_queries_once(spark, docs, monkeypatch):
+    """More queries take more tasks, but no more of the shuffles' disk; the answers are the same."""
+    asked = docs.filter("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    found, sent = [], []
+    for most in (search.QUERY_BYTES, 20_000):
+        monkeypatch.setattr(search, "QUERY_BYTES", most)
+        before = shuffled(spark)
+        found.append(sorted(search.top_k(docs, asked).collect()))
+        sent.append(shuffled(spark) - before)
+    assert found[0] == found[1] and found[0] and sent[1] < 1.5 * sent[0]
+
+
 def test_language(spark, odd):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
